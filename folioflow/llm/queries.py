@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from . import contamination, reading_level, repetition, splitting, tokenizing
+from . import contamination, reading_level, repetition, residue, sentences, splitting, tokenizing
 
 
 def queries() -> dict:
     found = {}
-    for module in (splitting, repetition, tokenizing, contamination, reading_level):
+    for module in (splitting, residue, repetition, sentences, tokenizing, contamination, reading_level):
         found |= {name: f for name, f in vars(module).items() if name[0] == "p" and name[1:2].isdigit()}
     return found
 
