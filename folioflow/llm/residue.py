@@ -96,7 +96,6 @@ ERRORS = _begins(
     r"Ray ID: ?[0-9a-f]{8,}", r"Reference number: ?#[0-9a-f]{8,}", r"Incident ID: ?#?[0-9a-f]{6,}",
 )
 
-_COUNTED = re.compile(r"(?m)(?:^|(?<=[.!?] ))Sample \w+ \d+\.")
 _LATIN = frozenset("lorem ipsum dolor sit amet consectetur adipiscing elit sed do eiusmod tempor incididunt ut labore et dolore magna aliqua enim ad minim veniam quis nostrud exercitation ullamco laboris nisi aliquip ex ea commodo consequat duis aute irure in reprehenderit voluptate velit esse cillum eu fugiat nulla pariatur excepteur sint occaecat cupidatat non proident sunt culpa qui officia deserunt mollit anim id est laborum donec fusce nunc vitae turpis massa orci nibh felis mauris lacus risus erat semper quam porta ligula pretium cursus congue quisque praesent vestibulum curabitur pellentesque".split())
 _LATIN_RARE = _LATIN - frozenset("in do ex ad id est et non esse sit ut sed a".split())
 _LATIN_HINT = re.compile(r"\b(?:ipsum|dolor|amet|nibh|felis|fusce|turpis|mauris|orci|lacus|massa|cursus|donec|nunc|quam|erat|pretium|congue|risus|porta|semper|ligula|vitae|nulla)\b", re.I)
@@ -142,7 +141,7 @@ def placeholders(text: str) -> list[str]:
 
 
 def is_filler(text: str, starts: list[int]) -> bool:
-    if _starts_with(FILLER, text, starts) or len(_COUNTED.findall(text)) >= 3:
+    if _starts_with(FILLER, text, starts):
         return True
     if len(_LATIN_HINT.findall(text)) >= 4:
         for sentence in _SENTENCE.split(text):
