@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from . import contamination, reading_level, repetition, residue, sentences, splitting, structure, tokenizing, truncation
+from . import boilerplate, contamination, reading_level, repetition, residue, sentences, splitting, structure, tokenizing, truncation
 
 
 def queries() -> dict:
     found = {}
-    for module in (splitting, truncation, residue, repetition, structure, sentences, tokenizing, contamination, reading_level):
+    for module in (splitting, boilerplate, truncation, residue, repetition, structure, sentences, tokenizing, contamination, reading_level):
         found |= {name: f for name, f in vars(module).items() if name[0] == "p" and name[1:2].isdigit()}
     return found
 
