@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import frame, read
+from .common import frame, read, written
 
 HOST_SHARE, HOST_LEAST = 1 / 30, 3
 ALL_SHARE, ALL_HOSTS = 0.02, 0.3
@@ -322,7 +322,7 @@ def page_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     clean = read(spark, sf_dir, "clean_out")
     pages = read(spark, sf_dir, "extract_out").where("pages IS NOT NULL").select("pdf_id", F.lit("pages").alias("field"), F.lit(None).cast("string").alias("title"), "pages")
     bodies = clean.where("body IS NOT NULL AND body <> ''").select("pdf_id", F.lit("body").alias("field"), "title", F.array("body").alias("pages"))
-    return scored(pages.unionByName(bodies))
+    return written(scored(pages.unionByName(bodies)))  # the vote and the extraction read it again
 
 
 def _furniture(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -45,6 +46,14 @@ def shared_dir(spark: SparkSession) -> str:
     return path
 
 
+def written(df: DataFrame) -> DataFrame:
+    """The frame as a table in the shared folder: computed once, and still there if an executor is lost."""
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def local_path(url: str) -> str | None:
     """The file system path of a shared folder, where it is mounted as one."""
     if url.startswith("file:"):
