@@ -23,6 +23,7 @@ the recorded title is the article's own; repeated rows count once.
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 
 import numpy as np
 import pyarrow as pa
@@ -53,15 +54,20 @@ _LINE = re.compile(
     r"Accept(?: all)?(?:\s+\|?\s*(?:Decline|Reject|Manage options|Settings).*)?|Reject all\b.*|OK, got it|Save choices|Manage options|"
     r"Advertisement\b.*|AD|Ad|Anzeige|Publicité|Publicidad|Sponsored(?: content)?|Paid content|广告|広告|Реклама|"
     r"Site ?map\b.*|Do not sell my data|Terms of use\b.*|Privacy (?:policy|notice)\b.*|Imprint\b.*|Back to top\b.*|Cookie (?:settings|policy)|"
-    r"(?:©|\(c\)|Copyright\b|版权所有|著作権).*|.*\bAll rights reserved\.?|.+ is a trading name of .+|Published by .+\. Powered by .+|"
+    r"(?:©|\(c\)|Copyright\b|版权所有|著作権).*|Published by .+\. Powered by .+|"
     r"☰.*|(?:Menu|Search|Log ?in|Sign (?:in|up))(?:\s+(?:Menu|Search|Log ?in|Sign (?:in|up)))*|"
     r"Tous droits réservés|Mentions légales\b.*|Haut de page|Impressum\b.*|Nach oben|Alle Rechte vorbehalten\.?|Aviso legal\b.*|Volver arriba|Todos los derechos reservados|Все права защищены|Правила сайта\b.*|"
     r"关于我们.*隐私.*|会社概要.*|無断転載.*|सर्वाधिकार सुरक्षित|गोपनीयता.*नियम.*|جميع الحقوق محفوظة|سياسة الخصوصية.*|สงวนลิขสิทธิ์|นโยบายความเป็นส่วนตัว.*|"
     r"(?:Sign up|Subscribe)\b.{0,60}|Get the (?:weekly|daily) .{0,50}|Free newsletter\b.{0,40}|Never miss a story\b.{0,40}|Your daily .{0,40}update.{0,20}|Join [\d,.]+ readers\b.*|Enter your e-?mail\b.*|"
-    r".*(?:本网站使用|当サイトは|कुकी का उपयोग|ใช้คุกกี้|utilisons des cookies|verwenden Cookies|Usamos cookies|файлы cookie|ملفات تعريف الارتباط).*|"
-    r".{2,60} [-|:] .{2,90} - page \d+ of \d+|Page \d+ (?:of|/) \d+|.{2,50}(?: [-|]|:) Print view(?: - page \d+ of \d+)?"
+    r"Page \d+ (?:of|/) \d+"
     r")$",
 )
+_INSIDE_HINT = re.compile(r"ookie|クッキー|サイトは|本网站|कुकी|คุกกี้|ملفات|rights reserved|trading name|Print view| - page \d")
+_INSIDE = re.compile(
+    r"^(?:.*(?:本网站使用|当サイトは|कुकी का उपयोग|ใช้คุกกี้|utilisons des cookies|verwenden Cookies|Usamos cookies|файлы cookie|ملفات تعريف الارتباط).*|"
+    r".*\bAll rights reserved\.?|.+ is a trading name of .+|.{2,60}(?: [-|]|:) .{2,90} - page \d+ of \d+|.{2,50}(?: [-|]|:) Print view(?: - page \d+ of \d+)?)$"
+)
+_DIGIT = re.compile(r"\d")
 _SPANS = re.compile(
     "|".join(
         p.replace(" ", r"\s+")
@@ -75,20 +81,20 @@ _SPANS = re.compile(
 )
 _SPAN_HINT = re.compile(r"cookies|small files|partners|tracking|change\s+your\s+mind|are\s+needed|you\s+allow|browsing\s+on|Accept\s+to|Download\s+the|Join\s+us|Academy|Members\s+of|material\s+on|Early\s+tickets")
 
-_SPACE = re.compile(r"\s+")
 _STOP = re.compile(r"[.!?。！？।؟][\"'”’»)\]」]*\s*$")
 _INNER = re.compile(r"[.!?]\s+\S|[。！？।؟]")
 _SEPARATOR = re.compile(r"\s[-|>›]\s|:\s")
 _SENTENCES = re.compile(r"(?<=[.!?])\s+(?=[^\Wa-z\d_]|[\"“«„(¿¡])|(?<=[。！？।؟])")
-_CELLS = (("|", re.compile(r"\|")), (";", re.compile(r";")), (",", re.compile(r",")), ("tab", re.compile(r"\t")), ("columns", re.compile(r" {3,}")))
 
 
 def _cells(line: str) -> tuple[str, int] | None:
     """The delimiter of a table row and how often it stands in it."""
-    for name, delimiter in _CELLS:
-        if (n := len(delimiter.findall(line.strip("| ")))) >= 3:
-            return name, n
+    for name in ("|", ";", ",", "\t", "   "):
+        if (n := line.count(name)) >= 3:
+            return name, n - (name == "|") * ((line[0] == "|") + (line[-1] == "|"))
     return None
+
+
 _ITEM = re.compile(r"^(?:[-*•·]|\d{1,2}[.)])\s+")
 
 
@@ -98,7 +104,7 @@ def _hash(text: str) -> int:
 
 def path_of(line: str) -> int:
     """The generalised path of a line."""
-    return _hash(_SPACE.sub(" ", line).casefold())
+    return xxhash.xxh64_intdigest(" ".join(line.split()).casefold()) - (1 << 63)
 
 
 def prefix_path(line: str) -> int:
@@ -112,6 +118,28 @@ def prefix_path(line: str) -> int:
     return 0 if any(c.isdigit() for c in head) or _ITEM.match(line) else _hash("\x01" + head.casefold())
 
 
+#: What is known of a line alone; furniture comes again and again, so each worker keeps up to SEEN_LINES of them.
+SEEN_LINES = 20_000
+_SEEN: dict[str, tuple] = {}
+
+
+def _facts(line: str) -> tuple[int, int, int, tuple[str, int] | None, bool]:
+    """(path, prefix path, flags, cells of a row, whether it has digits) of a line."""
+    flags = 0
+    if len(line) <= 60 and _RELATED.match(line):
+        flags = RELATED | FURNITURE
+    elif _LINE.match(line) or (_INSIDE_HINT.search(line) and _INSIDE.match(line)):
+        flags = FURNITURE
+    if _STOP.search(line):
+        flags |= STOP | SENTENCE
+    elif line[0].islower():
+        flags |= SENTENCE
+    elif 4 <= len(line) <= 160:
+        flags |= HEADLINE
+    cells = _cells(line)
+    return path_of(line), prefix_path(line), flags, cells, cells is not None and _DIGIT.search(line) is not None
+
+
 class Lines:
     """What leaves a text: for each line its place, paths and flags; for each sentence its lines and path."""
 
@@ -133,32 +161,31 @@ class Lines:
         for no, raw in enumerate(text.split("\n"), 1):
             line = raw.strip()
             if not line:
-                self._sentences(block)
-                block, fresh, cells_before = [], True, None
+                if block:
+                    self._sentences(block)
+                    block = []
+                fresh, cells_before = True, None
                 continue
-            flags = BLOCK_START if fresh else 0
-            fresh = False
-            stop = bool(_STOP.search(line))
-            if _RELATED.match(line):
-                flags |= RELATED | FURNITURE
-            elif no in lexical or _LINE.match(line):
+            known = _SEEN.get(line)
+            if known is None:
+                if len(_SEEN) >= SEEN_LINES:
+                    _SEEN.clear()
+                known = _SEEN[line] = _facts(line)
+            path, prefix, flags, cells, digits = known
+            if fresh:
+                flags |= BLOCK_START
+                fresh = False
+            if no in lexical:
                 flags |= FURNITURE
-            if stop:
-                flags |= STOP
-            cells, digits = _cells(line), any(map(str.isdigit, line))
             if cells and cells == cells_before and (digits or digits_before):
                 flags |= ROW
                 self.flags[-1] |= ROW
             cells_before, digits_before = cells, digits
-            if stop or line[0].islower():
-                flags |= SENTENCE
-            elif 4 <= len(line) <= 160:
-                flags |= HEADLINE
             block.append((len(self.page), line))
             self.page.append(number)
             self.line.append(no)
-            self.path.append(path_of(line))
-            self.prefix.append(prefix_path(line))
+            self.path.append(path)
+            self.prefix.append(prefix)
             self.flags.append(flags)
         self._sentences(block)
         count = len(self.page) - begin
@@ -168,17 +195,18 @@ class Lines:
     def _sentences(self, block: list[tuple[int, str]]) -> None:
         if not block:
             return
-        starts, joined = [], ""
+        starts, length = [], 0
         for _, line in block:
-            starts.append(len(joined))
-            joined += line + " "
+            starts.append(length)
+            length += len(line) + 1
+        joined = " ".join([line for _, line in block]) + " "
         at = 0
         ends = [m.end() for m in _SENTENCES.finditer(joined)]
         for end in [*ends, len(joined)]:
             sentence = joined[at:end].strip()
             if len(sentence) >= 20 and end - at < 1000:
-                a = int(np.searchsorted(starts, at, side="right")) - 1
-                b = int(np.searchsorted(starts, max(at, end - 2), side="right")) - 1
+                a = bisect_right(starts, at) - 1
+                b = bisect_right(starts, max(at, end - 2)) - 1
                 self.first.append(block[a][0])
                 self.last.append(block[b][0])
                 self.sentence.append(path_of(sentence))
