@@ -214,14 +214,18 @@ class Lines:
             at = end
 
     def finish(self) -> None:
-        """Marks lines without a stop at the edges of pages that stand on at least three, and half, of a text's pages."""
-        seen: dict[int, set[int]] = {}
-        for page, path, flags in zip(self.page, self.path, self.flags):
-            if flags & EDGE and not flags & SENTENCE:
-                seen.setdefault(path, set()).add(page)
+        """Marks lines without a stop, alone at the edges of pages, that stand on at least three, and half, of a text's pages."""
         least = max(3, len(set(self.page)) / 2)
-        for i, (path, flags) in enumerate(zip(self.path, self.flags)):
-            if flags & EDGE and len(seen.get(path, ())) >= least:
+        if least > len(set(self.page)):
+            return
+        n, seen, where = len(self.page), {}, []
+        for i, (page, path, flags) in enumerate(zip(self.page, self.path, self.flags)):
+            alone = flags & BLOCK_START and (i + 1 == n or self.page[i + 1] != page or self.flags[i + 1] & BLOCK_START)
+            if alone and flags & EDGE and not flags & SENTENCE:
+                seen.setdefault(path, set()).add(page)
+                where.append(i)
+        for i in where:
+            if len(seen[self.path[i]]) >= least:
                 self.flags[i] |= REPEATED
 
 
