@@ -263,9 +263,9 @@ def votes(rows: DataFrame, hosts: DataFrame) -> tuple[DataFrame, DataFrame]:
     sizes = hosts.groupBy("host").agg(F.count_distinct("pdf_id").alias("documents"))
     known = counted.where("host IS NOT NULL").join(sizes, "host")
     local = known.where((F.col("n") >= HOST_LEAST) & (F.col("n") >= HOST_SHARE * F.col("documents"))).select("host", "path")
-    total = sizes.agg(F.sum("documents").alias("all_documents"), F.count(F.lit(1)).alias("all_hosts"))
-    spread = known.groupBy("path").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("on_hosts")).crossJoin(F.broadcast(total))  # one row
-    everywhere = spread.where((F.col("n") >= ALL_SHARE * F.col("all_documents")) & (F.col("on_hosts") >= F.greatest(F.lit(3), ALL_HOSTS * F.col("all_hosts")))).select("path")
+    documents, all_hosts = sizes.agg(F.coalesce(F.sum("documents"), F.lit(0)), F.count(F.lit(1))).first()
+    spread = known.groupBy("path").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("on_hosts"))
+    everywhere = spread.where((F.col("n") >= ALL_SHARE * documents) & (F.col("on_hosts") >= max(3, ALL_HOSTS * all_hosts))).select("path")
     return local, everywhere
 
 

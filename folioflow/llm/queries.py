@@ -12,5 +12,13 @@ def queries() -> dict:
     return found
 
 
+_SPACE = r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}。！？।؟۔]"
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """Only the first problem can be put into SQL over whole tables; the others are tested against brute force."""
+    return {
+        "p1_found": f"""
+WITH b AS (SELECT DISTINCT pdf_id, list_max(list_transform(string_split_regex(body, '{_SPACE}'), lambda x: length(x))) AS longest FROM clean_out WHERE body IS NOT NULL AND body <> '')
+SELECT DISTINCT b.pdf_id, l.consumer FROM b JOIN chunk_limits l ON b.longest > l.max_chars"""
+    }

@@ -89,10 +89,11 @@ TABLES: dict[str, list[tuple[str, str, bool]]] = {
     "any": [
         (r"(?<!\S)\S*[.!?]$", r"\s+(?=$)", BREAK),
         (_abbreviations(_TITLES["any"]), r"", KEEP),
+        (r"(?<![\w.])(?:[Aa]rt|[Nn]r|[Nn]os?|[Ff]igs?|pp?|[Vv]ol|[Cc]h|[Ss]ec|[Nn]úm|[Pp]ág|Abs|рис|стр|гл|см|ст)\.$", r"\s+\d", KEEP),
         # a bare numeral or letter that begins a line numbers an item
         (r"(?:^|\n)[ \t]*(?:\d{1,3}|[a-zA-Z]|[ivxIVX]{1,5})\.$", r"[ \t]+\S", KEEP),
         # lower case goes on, whatever mark stood before
-        (r"", r"\s+[\"'“‘«(\[]?[a-zà-öø-ÿа-яё]", KEEP),
+        (r"", r"\s+[(\[]?[a-zà-öø-ÿа-яё]", KEEP),
         (r"", r"\s+[,;:)\]–—]", KEEP),
         # an abbreviation with stops ends a sentence only before a word that can start one
         (rf"(?<![\w.])(?:{_OPEN_ENDS})\.$", rf"\s+[\"'“«]?{_STARTERS}", BREAK),
@@ -121,9 +122,9 @@ _SCRIPTS = (
 )
 _COMMON = {
     "de": re.compile(r"\b(?:der|die|das|und|von|hat|wurde|nicht|eine|wer|nach)\b"),
-    "fr": re.compile(r"\b(?:le|les|une|des|et|été|que|est|dans|pour|selon)\b"),
-    "es": re.compile(r"\b(?:el|los|una|fue|que|del|por|según|estaba|las|con)\b"),
-    "en": re.compile(r"\b(?:the|and|of|to|was|that|in|by|its|a)\b"),
+    "fr": re.compile(r"\b(?:le|la|les|une|des|du|et|été|était|pas|que|qui|est|dans|pour|avec|selon)\b"),
+    "es": re.compile(r"\b(?:el|la|los|una|fue|que|del|por|según|estaba|las|con|no)\b"),
+    "en": re.compile(r"\b(?:the|and|of|to|was|that|for|by|its|with)\b"),
 }
 
 

@@ -146,11 +146,11 @@ def piled_lengths(lengths: DataFrame) -> DataFrame:
 RATIO_QUANTILE, RATIO_SLACK = 0.01, 0.985
 
 
-def least_ratio(rows: DataFrame) -> DataFrame:
-    """One row: the characters a generated token that all but a hundredth of the values ending in a full stop reach."""
+def least_ratio(rows: DataFrame) -> float | None:
+    """The characters a generated token that all but a hundredth of the values ending in a full stop reach; one number for the driver."""
     finished = rows.where(F.col("summary").rlike(r"[.!?。！？।؟][\"'”’»)]*\s*$") & ~F.col("summary").rlike(r"\.\.\.\s*$") & (F.col("generated_tokens") > 0))
     ratio = F.length("summary") / F.col("generated_tokens")
-    return finished.agg((F.percentile_approx(ratio, RATIO_QUANTILE, 10000) * RATIO_SLACK).alias("least"))
+    return finished.agg(F.percentile_approx(ratio, RATIO_QUANTILE, 10000) * RATIO_SLACK).first()[0]
 
 
 def judged(summaries: DataFrame, runs: DataFrame, pool: DataFrame | None = None) -> DataFrame:
@@ -160,17 +160,21 @@ def judged(summaries: DataFrame, runs: DataFrame, pool: DataFrame | None = None)
     rows = rows.join(limits, "run_id", "left").withColumn("at_tokens", F.coalesce(F.col("generated_tokens") >= F.col("most_tokens"), F.lit(False)))
     values = rows.select("summary").distinct()
     stats = counts(values)
-    cut_off = prefixes(values if pool is None else values.union(pool.where("summary IS NOT NULL AND trim(summary) <> ''").select("summary"))).distinct().withColumn("is_prefix", F.lit(True))
+    # a value that only lacks its final marks is no prefix of the one that has them
+    bare = F.regexp_replace("summary", r"[\s.!?\"'”’»)\]]+$", "")
+    copies = values if pool is None else values.union(pool.where("summary IS NOT NULL AND trim(summary) <> ''").select("summary"))
+    cut_off = prefixes(copies.select(bare.alias("summary")).where("summary <> ''")).distinct().select(F.col("summary").alias("bare"), F.lit(True).alias("is_prefix"))
+    rows = rows.withColumn("bare", bare)
     open_ = _open(values).withColumn("n_chars", F.length("summary"))
     piled = piled_lengths(open_.where("NOT marked").select("n_chars")).withColumn("at_length", F.lit(True))
     named = lambda p: stats.select(F.col("words").alias(p), *(F.col(c).alias(f"{p}_{c}") for c in ("ends", "clauses", "goes_on")))
     facts = open_.join(named("two"), "two", "left").join(named("one"), "one", "left").join(piled, "n_chars", "left")
-    facts = rows.join(facts, "summary", "left").join(cut_off, "summary", "left")
-    facts = facts.crossJoin(F.broadcast(least_ratio(rows)))  # one row
+    facts = rows.join(facts, "summary", "left").join(cut_off, "bare", "left")
+    least = F.lit(least_ratio(rows)).cast("double")
     zero = {f"{p}_{c}": 0 for p in ("one", "two") for c in ("ends", "clauses", "goes_on")}
     facts = facts.fillna(zero).withColumn("likely", F.coalesce("at_length", F.lit(False)) | F.col("at_tokens"))
     ratio = F.when(F.col("generated_tokens") > 0, F.length(F.rtrim("summary")) / F.col("generated_tokens"))
-    short, shorter, enough = (F.coalesce(x, F.lit(False)) for x in (ratio < F.col("least"), ratio < 0.93 * F.col("least"), ratio >= F.col("least")))
+    short, shorter, enough = (F.coalesce(x, F.lit(False)) for x in (ratio < least, ratio < 0.93 * least, ratio >= least))
     open_value, ends_two = F.col("marked").isNotNull(), F.col("two_ends") + F.col("two_clauses")
     seen_one, seen_two = (F.col(f"{p}_ends") + F.col(f"{p}_clauses") + F.col(f"{p}_goes_on") for p in ("one", "two"))
     may_end = F.col("one_ends") >= 0.04 * seen_one
