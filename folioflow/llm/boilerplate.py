@@ -4,9 +4,9 @@ A text has no tags, so a line's path is its generalised form, case and spacing
 folded; a second path keeps only what stands before a separator; the sentences of
 a block, unwrapped, have paths of their own.  Every page's
 containers are scored first (menus, notices, share bars, related links and footers
-by their wording and place).  Then the hosts vote: a path in at least a
-thirtieth of a host's documents (and three), or across a good part of all hosts,
-is furniture.  The pages are extracted again with the winning paths, and with the
+by their wording and place).  Then the hosts vote: a path in clearly more
+than 3 % of a host's documents (and three), or across a good part of all hosts, is
+furniture.  The pages are extracted again with the winning paths, and with the
 rules that need neighbours: the links below a heading for related links, and lines
 that stand at the head or foot of several pages.
 
@@ -33,7 +33,8 @@ from pyspark.sql import functions as F
 
 from .common import frame, read, written
 
-HOST_SHARE, HOST_LEAST = 1 / 30, 3
+#: a path wins on a host from HOST_LEAST documents and from HOST_SHARE of them plus two standard deviations on
+HOST_SHARE, HOST_LEAST = 0.03, 3
 ALL_SHARE, ALL_HOSTS = 0.02, 0.3
 BROADCAST_ROWS = 200_000
 SALTS = 64
@@ -67,7 +68,7 @@ _INSIDE = re.compile(
     r"^(?:.*(?:本网站使用|当サイトは|कुकी का उपयोग|ใช้คุกกี้|utilisons des cookies|verwenden Cookies|Usamos cookies|файлы cookie|ملفات تعريف الارتباط).*|"
     r".*\bAll rights reserved\.?|.+ is a trading name of .+|.{2,60}(?: [-|]|:) .{2,90} - page \d+ of \d+|.{2,50}(?: [-|]|:) Print view(?: - page \d+ of \d+)?)$"
 )
-_DIGIT = re.compile(r"\d")
+_DIGIT, _COLUMNS = re.compile(r"\d"), re.compile(r" {3,}")
 _SPANS = re.compile(
     "|".join(
         p.replace(" ", r"\s+")
@@ -89,9 +90,11 @@ _SENTENCES = re.compile(r"(?<=[.!?])\s+(?=[^\Wa-z\d_]|[\"“«„(¿¡])|(?<=[
 
 def _cells(line: str) -> tuple[str, int] | None:
     """The delimiter of a table row and how often it stands in it."""
-    for name in ("|", ";", ",", "\t", "   "):
+    for name in ("|", ";", ",", "\t"):
         if (n := line.count(name)) >= 3:
             return name, n - (name == "|") * ((line[0] == "|") + (line[-1] == "|"))
+    if "   " in line and (n := len(_COLUMNS.findall(line))) >= 3:
+        return "columns", n
     return None
 
 
@@ -262,7 +265,8 @@ def votes(rows: DataFrame, hosts: DataFrame) -> tuple[DataFrame, DataFrame]:
     counted = ballots.groupBy("host", "path").agg(F.count_distinct("pdf_id").alias("n")).where("n >= 2")
     sizes = hosts.groupBy("host").agg(F.count_distinct("pdf_id").alias("documents"))
     known = counted.where("host IS NOT NULL").join(sizes, "host")
-    local = known.where((F.col("n") >= HOST_LEAST) & (F.col("n") >= HOST_SHARE * F.col("documents"))).select("host", "path")
+    expected = HOST_SHARE * F.col("documents")
+    local = known.where((F.col("n") >= HOST_LEAST) & (F.col("n") >= expected + 2 * F.sqrt(expected))).select("host", "path")
     documents, all_hosts = sizes.agg(F.coalesce(F.sum("documents"), F.lit(0)), F.count(F.lit(1))).first()
     spread = known.groupBy("path").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("on_hosts"))
     everywhere = spread.where((F.col("n") >= ALL_SHARE * documents) & (F.col("on_hosts") >= max(3, ALL_HOSTS * all_hosts))).select("path")
