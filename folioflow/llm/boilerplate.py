@@ -39,7 +39,8 @@ ALL_SHARE, ALL_HOSTS = 0.02, 0.3
 BROADCAST_ROWS = 200_000
 SALTS = 64
 
-FURNITURE, RELATED, SENTENCE, HEADLINE, BLOCK_START, EDGE, REPEATED, STOP, ROW = 1, 2, 4, 8, 16, 32, 64, 128, 256
+FURNITURE, RELATED, SENTENCE, HEADLINE, BLOCK_START, EDGE, REPEATED, STOP, ROW, ITEM = 1, 2, 4, 8, 16, 32, 64, 128, 256, 512
+MOST_LINKS = 12
 
 # Headings of related links and the wording of common page furniture.
 _RELATED = re.compile(
@@ -139,6 +140,8 @@ def _facts(line: str) -> tuple[int, int, int, tuple[str, int] | None, bool]:
         flags |= SENTENCE
     elif 4 <= len(line) <= 160:
         flags |= HEADLINE
+    if _ITEM.match(line):
+        flags |= ITEM
     cells = _cells(line)
     return path_of(line), prefix_path(line), flags, cells, cells is not None and _DIGIT.search(line) is not None
 
@@ -286,26 +289,17 @@ def decide(page, line, path, prefix, flags, first, last, sentence, size, title,
         lone = path[i] in won and not (flags[i] & STOP and total[i] > 0)  # what ends a sentence is voted on with it
         voted = lone or (prefix[i] != 0 and prefix[i] in won) or (total[i] > 0 and covered[i] >= 0.6 * total[i])
         out[i] = bool(flags[i] & (FURNITURE | REPEATED)) or (voted and not flags[i] & ROW)
-    following, links = False, 0
     for i in range(n):
-        f = flags[i]
-        if f & RELATED:
-            following, links = True, 0
-        elif f & BLOCK_START and not (following and links == 0):
-            following = False
-        elif i and page[i] != page[i - 1]:
-            following = False
-        elif following:
-            if f & SENTENCE and not f & FURNITURE and not out[i]:
-                following = False
-            elif out[i] and not f & HEADLINE:
-                following = False
-        if following and not f & RELATED:
-            if f & HEADLINE and links < 12:
-                out[i] = True
-                links += 1
-            else:
-                following = False
+        if flags[i] & RELATED:
+            run, at = [], i + 1
+            while at < n and page[at] == page[i] and not flags[at] & (BLOCK_START | FURNITURE) and len(run) < MOST_LINKS:
+                run.append(at)
+                at += 1
+            # links have no stop; where running text follows, its first line may look like one of them
+            text = next((k for k, j in enumerate(run) if flags[j] & SENTENCE and not out[j]), None)
+            for k, j in enumerate(run if text is None else run[:text]):
+                if flags[j] & ITEM or (flags[j] & HEADLINE and (text is None or k < text - 1)):
+                    out[j] = True
     for i in range(n):
         if title is not None and path[i] == title:
             out[i] = False
