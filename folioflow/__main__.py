@@ -56,11 +56,19 @@ def main(argv: list[str] | None = None) -> int:
         from .plans.runner import run as go
         from .sources.tables import write_json
 
+        from .plans.compare import diff
+        from .plans.runner import results
+
         modes = args.modes.split(",")
         if len(modes) < 2 or not set(modes) <= set(MODES):
             parser.error(f"at least two of {sorted(MODES)}")
-        results = {m: go(spark, args.corpus, f"{args.store}/{m}", Config.from_env({**os.environ, **MODES[m]})) for m in modes}
-        pairs = [{"left": a, "right": b, "seconds": round(sum(results[b].seconds.values()) - sum(results[a].seconds.values()), 3)} for a, b in zip(modes, modes[1:])]
+        runs = {m: go(spark, args.corpus, f"{args.store}/{m}", Config.from_env({**os.environ, **MODES[m]})) for m in modes}
+        pairs = []
+        for a, b in zip(modes, modes[1:]):
+            rows = diff(results(spark, f"{args.store}/{a}"), results(spark, f"{args.store}/{b}"), "doc_id")
+            name = f"{args.store}/diff-{a}-{b}"
+            rows.write.mode("overwrite").json(name)
+            pairs.append({"left": a, "right": b, "seconds": round(sum(runs[b].seconds.values()) - sum(runs[a].seconds.values()), 3), "rows": name})
         write_json({"modes": modes, "pairs": pairs}, f"{args.store}/compare-{new_run_id()}.json")
     else:
         from .catalog import queries

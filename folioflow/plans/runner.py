@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import statistics
 import time
 import uuid
 from dataclasses import dataclass, field
@@ -85,14 +86,32 @@ def run(spark: SparkSession, corpus: str, store: str, config: Config = Config(),
         fps = ["input_fingerprint", "config_fingerprint", "code_fingerprint"]
         newest = every.join(mine.select("doc_id", *fps), ["doc_id", *fps], "left_semi").groupBy("doc_id").agg(F.max_by("batch", "created_at").alias("batch"))
         done[stage.name] = every.join(newest, ["doc_id", "batch"], "left_semi")
+        used = reuse.join(open_ids, "doc_id", "left_semi").select("doc_id", "stage").withColumn("run_id", F.lit(out.run_id))
+        used.write.mode("append").partitionBy("run_id").parquet(f"{store}/cached")
         tally = every.where(F.col("run_id") == out.run_id).agg(F.count_if(F.col("status") == "ok").alias("computed"), F.count_if(F.col("status") != "ok").alias("errors")).first()
-        total, cached = documents.count(), reuse.join(open_ids, "doc_id", "left_semi").count()
+        total, cached = documents.count(), used.count()
         out.counts[stage.name] = {"computed": tally.computed, "cached": cached, "errors": tally.errors, "skipped": total - tally.computed - tally.errors - cached}
         out.seconds[stage.name] = round(time.monotonic() - began, 4)
     write_json({"run_id": out.run_id, "config": config.snapshot(), "stages": out.counts, "seconds": out.seconds}, f"{store}/runs/{out.run_id}.json")
     return out
 
 
+def measured(spark: SparkSession, corpus: str, store: str, config: Config = Config(), warm_up: int = 1, runs: int = 3) -> dict[str, float]:
+    """Median seconds of each stage over forced runs, after a warm-up whose times don't count."""
+    passes = [run(spark, corpus, store, config, force=True, run_id=f"{new_run_id()}-{i}") for i in range(warm_up + runs)][warm_up:]
+    return {name: round(statistics.median(p.seconds[name] for p in passes), 4) for name in passes[0].seconds}
+
+
+def results(spark: SparkSession, store: str) -> DataFrame:
+    """(doc_id, rejected, predicted_label, phrases) of a store's last successful results, for comparing runs."""
+    last = lambda name, *c: spark.read.parquet(f"{store}/{name}").where("status = 'ok'").groupBy("doc_id").agg(*(F.max_by(x, "created_at").alias(x) for x in c))
+    labels = last("classify", "predicted_label") if _existing(spark, f"{store}/classify") is not None else None
+    rows = last("validate", "verdict").select("doc_id", (F.col("verdict") == "rejected").alias("rejected"))
+    phrases = last("keywords", "keywords").select("doc_id", F.transform("keywords", lambda k: k["phrase"]).alias("phrases"))
+    rows = rows.join(phrases, "doc_id", "left")
+    return rows.join(labels, "doc_id", "left") if labels is not None else rows.withColumn("predicted_label", F.lit(None).cast("string"))
+
+
 def _existing(spark: SparkSession, path: str) -> DataFrame | None:
     try:
         return spark.read.parquet(path)
