@@ -8,9 +8,6 @@ is removed from the compact results instead.
 
 from __future__ import annotations
 
-import os
-import tempfile
-import uuid
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -19,6 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.shared import local_path, shared_dir, written  # noqa: F401 - used by the operators
+
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -37,30 +36,6 @@ def frame(names: list[str], columns: list, types: list[pa.DataType]) -> pa.Recor
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=names)
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share; a folder of this machine only where none is set (tests, local mode)."""
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        path = "file://" + tempfile.mkdtemp(prefix="folioflow-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    return path
-
-
-def written(df: DataFrame) -> DataFrame:
-    """The frame as a table in the shared folder: computed once, and still there if an executor is lost."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/table-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def local_path(url: str) -> str | None:
-    """The file system path of a shared folder, where it is mounted as one."""
-    if url.startswith("file:"):
-        return "/" + url[5:].lstrip("/")
-    return url if url.startswith("/") and os.path.isdir(url) else None
-
-
 @lru_cache(1)
 def alnum_table() -> np.ndarray:
     """For each code point, whether it is a letter or digit."""
