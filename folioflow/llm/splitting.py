@@ -95,7 +95,7 @@ def split_text(text: str | None, max_chars: int, overlap: int, bounds: Boundarie
         if found is None and (p := bounds.next_after(cut)) is not None and p <= cut + max_chars:
             found = p, "space"
         if found is None:
-            found = min(cut + max_chars, n), "hard"
+            found = (n, "end") if n <= cut + max_chars else (cut + max_chars, "hard")
         end, kind = found
         start = max(start, end - max_chars) if pieces else 0
         pieces.append((start, end, kind))
