@@ -30,7 +30,7 @@ KINDS = ("end", "paragraph", "sentence", "line", "space", "hard")
 _PARAGRAPH = re.compile(r"\n[^\S\n]*\n\s*")
 _SENTENCE = re.compile(r"[.!?][\"'”’»)\]]*(?=\s)|[。！？।؟۔][”’」』»）)\"']*")
 _LINE = re.compile(r"\n")
-_SPACE = re.compile(r"\s|(?<=[。！？।؟۔])")
+_SPACE = re.compile(r"[\s。！？।؟۔]")
 
 
 class Boundaries:
@@ -41,7 +41,7 @@ class Boundaries:
             [m.start() for m in _PARAGRAPH.finditer(text)],
             [m.end() for m in _SENTENCE.finditer(text)],
             [m.start() for m in _LINE.finditer(text)],
-            # a piece may end before a white space or after it, and after a full stop that needs none
+            # at worst a piece ends before or after a white space or a full stop that needs none
             sorted({p for m in _SPACE.finditer(text) for p in (m.start(), m.end())}),
         ]
 
