@@ -264,12 +264,14 @@ def scored(texts: DataFrame) -> DataFrame:
 def votes(rows: DataFrame, hosts: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(host, path) of the paths that win on their host, and (path) of those that win across hosts."""
     paths = F.array_except(F.array_distinct(F.concat("path", "prefix", "sentence")), F.array(F.lit(0).cast("bigint")))
-    ballots = rows.where("field = 'pages'").select("pdf_id", F.explode(paths).alias("path")).join(hosts, "pdf_id", "left")
-    counted = ballots.groupBy("host", "path").agg(F.count_distinct("pdf_id").alias("n")).where("n >= 2")
+    # one ballot a document: the join keeps the partitioning by document, so only counts are shuffled after it
+    ballots = rows.where("field = 'pages'").select("pdf_id", paths.alias("paths")).groupBy("pdf_id").agg(F.max("paths").alias("paths"))
+    placed = ballots.join(hosts, "pdf_id").where("host IS NOT NULL").select("host", F.explode("paths").alias("path"))
+    known = placed.groupBy("host", "path").agg(F.count(F.lit(1)).alias("n")).where("n >= 2")
     sizes = hosts.groupBy("host").agg(F.count_distinct("pdf_id").alias("documents"))
-    known = counted.where("host IS NOT NULL").join(sizes, "host")
+    sizes_of = sizes.where("host IS NOT NULL")
     expected = HOST_SHARE * F.col("documents")
-    local = known.where((F.col("n") >= HOST_LEAST) & (F.col("n") >= expected + 2 * F.sqrt(expected))).select("host", "path")
+    local = known.join(sizes_of, "host").where((F.col("n") >= HOST_LEAST) & (F.col("n") >= expected + 2 * F.sqrt(expected))).select("host", "path")
     documents, all_hosts = sizes.agg(F.coalesce(F.sum("documents"), F.lit(0)), F.count(F.lit(1))).first()
     spread = known.groupBy("path").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("on_hosts"))
     everywhere = spread.where((F.col("n") >= ALL_SHARE * documents) & (F.col("on_hosts") >= max(3, ALL_HOSTS * all_hosts))).select("path")
