@@ -117,6 +117,12 @@ def word_distribution(words: list[str]) -> list[float]:
     """Share of function words, capitalised, other and not-word tokens."""
     counts = [0, 0, 0, 0]
     for word in words:
+        if word.isalpha():
+            if word.lower() in FUNCTION_WORDS:
+                counts[0] += 1
+            else:
+                counts[1 if word[0].isupper() else 2] += 1
+            continue
         bare = word.strip(_EDGES)
         if not bare or any(map(str.isdigit, bare)) or not bare[:1].isalpha():
             counts[3] += 1
@@ -177,6 +183,8 @@ _COLUMNS = re.compile(r"\S(?: {3,}|\t)\S")
 _URL = re.compile(r"^\s*(?:https?://|www\.)\S+\s*$")
 _CODE = re.compile(r"function\s*\(|=>|\)\s*\{|\}\s*;|^\s*[.#]?[\w.-]+(?:\s*>\s*[\w.-]+)*\s*\{[^}]*:[^}]*\}|^\s*(?:var|let|const|def|import|return|if|for|class|public|private)\b.*[(){};=]|^\s*[\w.]+\s*=\s*[\w.(\"'{\[]+.*;\s*$|</?\w+[^>]*>\s*$")
 _LONG = re.compile(r"\S{24,}")
+_NOISE = re.compile("[^\\w\\s\u0300-\U0010ffff]|_")
+_HEX = re.compile(r"(?:[0-9a-fA-F]{2}|[0-9a-fA-F]{8})\s")
 _STOP = re.compile(r"[.!?。！？।؟][\"'”’»)\]」]*\s*$|[.!?]\s+[A-ZÀ-ÖØ-Þ]|[。！？।؟]")
 
 
@@ -202,17 +210,16 @@ def _shape(line: str) -> str | None:
     n = len(text)
     if _URL.match(text):
         return "list"
-    alnum = sum(map(str.isalnum, text)) + sum(ord(c) > 0x2FF for c in text if not c.isalnum())
     solid = n - text.count(" ")
-    if solid >= 3 and alnum < 0.6 * solid and not _LEADER.search(text) and text.count("|") < 2 and n > 6:
+    if solid >= 3 and len(_NOISE.findall(text)) > 0.4 * solid and not _LEADER.search(text) and text.count("|") < 2 and n > 6:
         return "junk"
     if _LONG.search(text):
         strings_ = sum(len(w) for w in words if len(w) >= 24 and _is_string(w))
         if strings_ > 0.5 * n:
             return "junk"
-    if len(words) >= 8 and sum(len(w) == 1 for w in words) > 0.8 * len(words) and text.isascii():
+    if len(words) >= 8 and n < 3 * len(words) and text.isascii() and sum(len(w) == 1 for w in words) > 0.8 * len(words):
         return "junk"
-    if len(words) >= 6 and sum(len(w) in (2, 8) and all(c in "0123456789abcdefABCDEF" for c in w) for w in words) > 0.8 * len(words):
+    if len(words) >= 6 and _HEX.match(text) and sum(_HEX.fullmatch(w + " ") is not None for w in words) > 0.8 * len(words):
         return "junk"
     if ("{" in text or ";" in text or "<" in text or "=" in text) and _CODE.search(text):
         return "junk"
