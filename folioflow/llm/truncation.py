@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import frame, read, strings
+from .common import frame, read, strings, written
 
 _MARK = re.compile(r"(?:…|\.\.\.|\[\s*(?:…|\.\.\.|more|cut|truncated|continued)?\s*\]?|\((?:more|continued|cont\.?|truncated|cut|mehr|suite)\)|(?:read|see) more|�+|[A-Za-z]-|[,;:(\[–—/]|</?\w*|&#?\w*)\s*$", re.I)
 _DONE = re.compile(r"[.!?。！？।؟۔][\"'”’»)\]」』]*\s*$")
@@ -101,7 +101,8 @@ def prefixes(values: DataFrame) -> DataFrame:
         if first is not None:
             yield frame(["kind", "part", "summary"], [["first", "last"], [part] * 2, [first, last]], [pa.string(), pa.int32(), pa.string()])
 
-    rows = ordered.mapInArrow(run, "kind string, part int, summary string")
+    # kept as a table: a second run of the range partitioning could draw other borders
+    rows = written(ordered.mapInArrow(run, "kind string, part int, summary string"))
     # the successor of a partition's last value is the first of the next partition: two rows a partition
     edges = rows.where("kind <> 'prefix'")
     after = F.lead("summary").over(Window.orderBy("part", "kind"))
