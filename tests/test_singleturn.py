@@ -5,18 +5,17 @@ from folioflow.operators.singleturn import ChatClient, single_turn
 from folioflow.plans import log
 
 
-def test_records_retries_and_quarantine(spark):
+def test_records_retries_and_quarantine(spark, tmp_path):
+    asked = tmp_path / "asked"  # the second question may reach another worker
+
     class Model:
         """Answers by what the text asks for; the second answer to an empty one is good."""
 
-        def __init__(self):
-            self.seen = set()
-
         def generate(self, prompts, max_tokens):
             out = []
             for p in prompts:
-                if "mute" in p and p not in self.seen:
-                    self.seen.add(p)
+                if "mute" in p and not asked.exists():
+                    asked.touch()
                     out.append(("", 1, 0))
                 elif "down" in p:
                     raise RuntimeError("down")
