@@ -40,7 +40,6 @@ BROADCAST_ROWS = 200_000
 SALTS = 64
 
 FURNITURE, RELATED, SENTENCE, HEADLINE, BLOCK_START, EDGE, REPEATED, STOP, ROW, ITEM = 1, 2, 4, 8, 16, 32, 64, 128, 256, 512
-MOST_LINKS = 12
 
 # Headings of related links and the wording of common page furniture.
 _RELATED = re.compile(
@@ -294,7 +293,7 @@ def decide(page, line, path, prefix, flags, first, last, sentence, size, title,
     for i in range(n):
         if flags[i] & RELATED:
             run, at = [], i + 1
-            while at < n and page[at] == page[i] and not flags[at] & (BLOCK_START | FURNITURE) and len(run) < MOST_LINKS:
+            while at < n and page[at] == page[i] and not flags[at] & (BLOCK_START | FURNITURE):
                 run.append(at)
                 at += 1
             # links have no stop; where running text follows, its first line may look like one of them
