@@ -96,8 +96,8 @@ TABLES: dict[str, list[tuple[str, str, bool]]] = {
         (r"", r"\s+[(\[]?[a-zà-öø-ÿа-яё]", KEEP),
         (r"", r"\s+[,;:)\]–—]", KEEP),
         # an abbreviation with stops ends a sentence only before a word that can start one
-        (rf"(?<![\w.])(?:{_OPEN_ENDS})\.$", rf"\s+[\"'“«]?{_STARTERS}", BREAK),
-        (r"(?<![\w.])(?:Inc|Ltd|Co|Corp|LLC|PLC|GmbH|etc|usw|p\.m|a\.m|S\.A)\.$", r"\s+[\"'“«]?[A-ZÀ-ÖØ-ÞА-ЯЁ¿¡]", BREAK),
+        (rf"(?<![\w.])(?:{_OPEN_ENDS})\.$", rf"\s+(?:[\"'“„]|«\s?)?{_STARTERS}", BREAK),
+        (r"(?<![\w.])(?:Inc|Ltd|Co|Corp|LLC|PLC|GmbH|etc|usw|p\.m|a\.m|S\.A)\.$", r"\s+(?:[\"'“„]|«\s?)?[A-ZÀ-ÖØ-ÞА-ЯЁ¿¡]", BREAK),
         (rf"(?<![\w.])(?:{_OPEN_ENDS})\.$", r"", KEEP),
         # initials of a name
         (r"(?<![\w.'’])[A-ZÀ-ÖØ-ÞА-ЯЁ]\.$", r"\s+[A-ZÀ-ÖØ-ÞА-ЯЁ]", KEEP),
@@ -111,7 +111,7 @@ TABLES: dict[str, list[tuple[str, str, bool]]] = {
 _COMPILED = {lang: [(re.compile(before), re.compile(behind), how) for before, behind, how in table] for lang, table in TABLES.items()}
 
 _BLOCK = re.compile(r"\n[^\S\n]*(?:\n[^\S\n]*)+")
-_BULLET = re.compile(r"[ \t]*(?:[-*•·‣▪–—]|\d{1,3}[.)]|\(?[a-zA-Z][.)])[ \t]+\S")
+_BULLET = re.compile(r"[ \t]*(?:[-*•·‣▪–—]|\d{1,3}[.)]|\(?[a-zA-Z]\))[ \t]+\S")
 _ROW = re.compile(r"[^\n]*(?:\.{4,}|\t|[^|\n]\|[^|\n]+\|)[^\n]*$")
 _TERMINAL = re.compile(r"[.!?…:;,。！？，；：、؟،؛।॥۔]" + _CLOSE + r"\s*$")
 _INNER = re.compile(r"[.!?][\"”»)]?\s|[。！？]")

@@ -177,7 +177,7 @@ def nearest_profile(text: str) -> str:
     return best[1]
 
 
-_BULLET = re.compile(r"^\s*(?:[-*•·‣▪–—]|\(?\d{1,4}[.)]|\(?[a-zA-Z][.)])\s+(?=\S)")
+_BULLET = re.compile(r"^\s*(?:[-*•·‣▪–—]|\(?\d{1,4}[.)]|\(?[a-zA-Z]\))\s+(?=\S)")
 _LEADER = re.compile(r"\.{4,}|…{2,}|_{4,}")
 _COLUMNS = re.compile(r"\S(?: {3,}|\t)\S")
 _URL = re.compile(r"^\s*(?:https?://|www\.)\S+\s*$")

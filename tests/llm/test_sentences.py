@@ -18,7 +18,7 @@ CASES = {
     "quotation is one": (['He wrote: "It failed. Nobody called. We fixed it."', "Staff left."], " "),
     "speaker": (['"Did anyone call?" asked Ms. Hill of the board.', '"We left," said Prof. Stone.', "Its log read \"error 4.2! retry? no.\" for hours."], " "),
     "german": (["Rund 26,5 Prozent hatten die Anlage am 3. Mai z. B. ohne Prüfung gesperrt.", "„Die Lücke war alt\", sagte Prof. Stein von der Berg GmbH.", "Warum?"], " "),
-    "french": (["Selon M. Blanc, la loi (art. 4) n'a pas changé !", "« La base était lente », a dit Mme Noir.", "Pourquoi ?"], " "),
+    "french": (["Selon M. Blanc, la loi (art. 4) n'a pas changé !", "La norme couvre tout, etc.", "« La base était lente », a dit Mme Noir.", "Pourquoi ?"], " "),
     "spanish": (["Según el Sr. Blanco, no.", "«La red no está rota», dijo Roca, de Norte S.A., a la prensa.", "¿Por qué?", "¡La puerta estaba abierta!"], " "),
     "russian": (["Убытки составили 37,4 млн руб. и затронули фирму.", "Как сообщил г. Иванов, т. е. директор, всё работает.", "«сеть закрыта», сказал Иванов."], " "),
     "chinese": (["谁来负责？", "“供应商已经隔离。”负责人对记者说。", "大约26.5万名用户受到影响！"], ""),
@@ -38,6 +38,7 @@ def test_rules(name):
 def test_line_breaks_and_headings():
     text = "A wrapped sentence goes on over\ntwo lines here. It ends.\n\nA heading alone\n\n- first item\n* second item\nThe text\nafter."
     assert cut(text) == ["A wrapped sentence goes on over\ntwo lines here.", "It ends.", "A heading alone", "- first item", "* second item\nThe text\nafter."] or cut(text)[:4] == ["A wrapped sentence goes on over\ntwo lines here.", "It ends.", "A heading alone", "- first item"]
+    assert len(units("Er sagte, dass es\nz. B. ohne Anlage geht. Maria\nJ. K. Stone ging.")) == 2
     text = "Short heading\nThe paragraph below it is a good deal longer than the heading was,\nand it is wrapped."
     assert cut(text)[0] == "Short heading" and len(cut(text)) == 2
 
