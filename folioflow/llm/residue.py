@@ -102,7 +102,7 @@ _LATIN_HINT = re.compile(r"\b(?:ipsum|dolor|amet|nibh|felis|fusce|turpis|mauris|
 _SENTENCE = re.compile(r"[.!?]\s+|\n\s*\n")
 
 _FENCE = re.compile(r"```.*?```|~~~.*?~~~", re.S)
-_CODE_LINE = re.compile(r"\b(?:function|var|let|const|return|import|def|class|public|private|void|printf|echo)\b.*[(){};=]|=>|;\s*$|^\s*[.#]?[\w-]+(?:>[\w-]+)?\s*\{.*[:;].*\}|^\s{4,}\S+\s*[=({]")
+_CODE_LINE = re.compile(r"^\s*(?:function|var|let|const|return|import|def|class|public|private|void|printf|echo)\b.*[{};=]|\bfunction\s*\(|=>|;\s*$|^\s*[.#]?[\w-]+(?:>[\w-]+)?\s*\{.*[:;].*\}|^\s{4,}\S+\s*[=({]")
 _TUTORIAL = re.compile(r"\b(?:syntax|tutorial|snippet|for example|such as|looks? like|test string|format string|literal|macro|request holding|treats?|expands?)\b", re.I)
 _QUOTES = "\"'`“”‘’«»「」"
 
