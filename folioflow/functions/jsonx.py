@@ -9,12 +9,9 @@ from .text import split_sectors, strip
 
 
 def clean_json(c: Column) -> Column:
-    """The object text: fences and trailing commas removed; without a leading brace, the widest {...} inside."""
-    s = strip(F.coalesce(c, F.lit("")))
-    s = strip(F.regexp_replace(F.regexp_replace(s, r"^```(?:json)?\s*", ""), r"\s*```\s*$", ""))
-    s = F.replace(F.replace(s, F.lit(",}"), F.lit("}")), F.lit(",]"), F.lit("]"))
-    inner = F.regexp_extract(s, r"(?s)(\{.*\})", 1)
-    return F.when(F.startswith(s, F.lit("{")) & F.endswith(s, F.lit("}")), s).otherwise(inner)
+    """The widest {...} of a text, without trailing commas; fences and words around it fall away.  Empty where there is none."""
+    widest = F.regexp_extract(F.coalesce(c, F.lit("")), r"(?s)(\{.*\})", 1)
+    return F.replace(F.replace(widest, F.lit(",}"), F.lit("}")), F.lit(",]"), F.lit("]"))
 
 
 def json_object(c: Column) -> Column:
