@@ -1,10 +1,12 @@
 """Problem 9: evaluation texts inside training texts, by suffix arrays of the training text.
 
 Each shard (an Arrow batch of documents) gets a suffix array over its words: the
-suffixes, sorted by prefix doubling.  Every suffix of every test item is searched
-in it by binary search, which gives its longest verbatim match and the places of
-the matches.  Matches of one item that lie in one place and in order make a
-candidate; an exact alignment of the words there decides.
+suffixes, sorted by prefix doubling until no more of them differ.  Every suffix of
+every test item is searched in it by binary search on growing prefixes, which gives
+the places of its verbatim matches of three words or more, and the length of each.
+Matches of one item that lie in one place and in order make a candidate; an
+alignment of the words there decides.  Documents that hold an item are left out of
+the clean corpus.
 
 Words are compared after NFKC, case folding and removal of markup, punctuation,
 invisible characters and hyphens at line ends.
@@ -33,7 +35,6 @@ from .common import frame, read, strings
 
 SHARE = 0.5
 SEED = 3
-DEPTH = 8
 BLOCK_WORDS = 200_000
 MAX_ITEM_BYTES = 64 << 20
 
@@ -71,14 +72,15 @@ class Items:
         self.ids = list(self.words)
         self.length = np.array([len(self.words[i]) for i in self.ids], np.int64)
         self.start = np.concatenate([[0], np.cumsum(self.length)]).astype(np.int64)
-        flat = np.array([w for i in self.ids for w in [*self.words[i]]], np.int32)
+        self.flat = np.array([w for i in self.ids for w in self.words[i]], np.int32)
         self.owner = np.repeat(np.arange(len(self.ids)), self.length)
-        # suffixes as rows of DEPTH words, 0 behind the item's end
-        self.suffix = np.zeros((len(flat), DEPTH), np.int32)
-        for d in range(DEPTH):
-            at = np.arange(len(flat)) + d
-            inside = at < self.start[self.owner + 1]
-            self.suffix[inside, d] = flat[at[inside]]
+        # the first words of each suffix, 0 behind the item's end
+        self.suffix = np.stack([self.word(np.arange(len(self.flat)), d) for d in range(SEED)], axis=1)
+
+    def word(self, suffix: np.ndarray, d: int) -> np.ndarray:
+        """Word ``d`` of each suffix, 0 behind its item's end."""
+        inside = suffix + d < self.start[self.owner[suffix] + 1]
+        return np.where(inside, self.flat[np.where(inside, suffix + d, 0)], 0) if len(suffix) else np.zeros(0, np.int32)
 
 
 class Shard:
@@ -95,55 +97,66 @@ class Shard:
                 parts.append(np.array(part, np.int32))
                 total += len(part)
             self.doc_start[i + 1] = total
-        self.words = np.concatenate([*parts, np.zeros(DEPTH, np.int32)]) if parts else np.zeros(DEPTH, np.int32)
-        n = len(self.words) - DEPTH
+        self.words = np.concatenate([*parts, np.zeros(SEED, np.int32)]) if parts else np.zeros(SEED, np.int32)
         rank = self.words.astype(np.int64)
-        width = 1
-        while width < DEPTH:  # prefix doubling: ranks by 1, 2, 4, ... words
+        width, kinds, before = 1, len(np.unique(rank)), 0
+        while kinds > before:  # prefix doubling: ranks by 1, 2, 4, ... words, until no more suffixes differ
             second = np.zeros(len(rank), np.int64)
             second[:-width] = rank[width:]
             second[rank == 0] = 0  # nothing is compared behind a match's end
-            _, rank = np.unique(rank * (rank.max() + 1 + len(rank)) + second, return_inverse=True)
-            width *= 2
-        at = np.flatnonzero(self.words[:n] > 0)
+            values, rank = np.unique(rank * (rank.max() + 1 + len(rank)) + second, return_inverse=True)
+            width, kinds, before = 2 * width, len(values), kinds
+        at = np.flatnonzero(self.words > 0)
         self.array = at[np.argsort(rank[at], kind="stable")]
 
-    def search(self, suffix: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-        """By binary search, the range of the suffix array that starts with the first ``length`` words of each suffix."""
+    def narrow(self, low: np.ndarray, high: np.ndarray, d: int, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """By binary search, the parts of ranges of the suffix array, alike in their first ``d`` words, that go on with ``word``."""
         ends = []
         for above in (False, True):
-            low, high = np.zeros(len(suffix), np.int64), np.full(len(suffix), len(self.array), np.int64)
-            while (open_ := low < high).any():
-                middle = (low + high) // 2
-                at = self.array[np.minimum(middle, len(self.array) - 1)]
-                order = np.zeros(len(suffix), np.int8)
-                alive = np.ones(len(suffix), bool)  # a word 0 ends the shard's suffix: all behind it counts as 0
-                for d in range(length):
-                    there = np.where(alive, self.words[at + d], 0)
-                    alive &= there > 0
-                    order = np.where(order == 0, np.sign(there.astype(np.int64) - suffix[:, d]).astype(np.int8), order)
-                right = open_ & ((order <= 0) if above else (order < 0))
-                low = np.where(right, middle + 1, low)
-                high = np.where(open_ & ~right, middle, high)
-            ends.append(low)
+            a, b = low, high
+            while (open_ := a < b).any():
+                middle = (a + b) // 2
+                at = self.array[np.minimum(middle, len(self.array) - 1)] + d
+                there = self.words[np.minimum(at, len(self.words) - 1)]
+                right = open_ & ((there <= word) if above else (there < word))
+                a, b = np.where(right, middle + 1, a), np.where(open_ & ~right, middle, b)
+            ends.append(a)
         return ends[0], ends[1]
 
+    def longest(self, items: Items) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(test position, text position, words) of every verbatim match of at least SEED words (all of an item's words, if it has fewer), each as long as it goes."""
+        rest = items.start[items.owner + 1] - np.arange(len(items.owner))
+        least = np.minimum(SEED, items.length[items.owner])
+        open_ = np.flatnonzero((rest >= least) & ((least == SEED) | (rest == items.length[items.owner])))
+        low, high = np.zeros(len(open_), np.int64), np.full(len(open_), len(self.array), np.int64)
+        first, count = np.zeros(len(items.owner), np.int64), np.zeros(len(items.owner), np.int64)
+        width, offset = 0, None
+        while len(open_) or width < SEED:  # prefixes of 1, 2, 3, ... words, each searched in the range of the one before
+            low, high = self.narrow(low, high, width, items.word(open_, width))
+            width += 1
+            there = low < high
+            open_, low, high = open_[there], low[there], high[there]
+            if width <= SEED:
+                now = least[open_] == width
+                first[open_[now]], count[open_[now]] = low[now], (high - low)[now]
+            if width == SEED:
+                offset = np.cumsum(count) - count
+                length = np.repeat(least, count)
+            elif width > SEED:
+                length[_ranges(offset[open_] + low - first[open_], high - low)] = width
+            on = rest[open_] > width
+            open_, low, high = open_[on], low[on], high[on]
+        return np.repeat(np.arange(len(count)), count), self.array[_ranges(first, count)], length
+
     def matches(self, items: Items) -> tuple[np.ndarray, np.ndarray]:
         """(test position, text position) of every verbatim match of SEED words (all of an item's words, if it has fewer)."""
-        from_, to = [], []
-        for width in range(1, SEED + 1):
-            whole = items.length[items.owner] == width
-            chosen = np.flatnonzero(items.suffix[:, SEED - 1] > 0 if width == SEED else whole & (np.arange(len(items.owner)) == items.start[items.owner]))
-            if not len(chosen) or not len(self.array):
-                continue
-            low, high = self.search(items.suffix[chosen], width)
-            count = high - low
-            total = int(count.sum())
-            place = np.repeat(low - np.concatenate([[0], np.cumsum(count)[:-1]]), count) + np.arange(total)
-            from_.append(np.repeat(chosen, count))
-            to.append(self.array[place])
-        empty = np.zeros(0, np.int64)
-        return (np.concatenate(from_), np.concatenate(to)) if from_ else (empty, empty)
+        test, text, _ = self.longest(items)
+        return test, text
+
+
+def _ranges(start: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """The numbers of ranges, end to end."""
+    return np.repeat(start - (np.cumsum(count) - count), count) + np.arange(int(count.sum()))
 
 
 def common_length(a: list[int], b: list[int]) -> int:
@@ -182,14 +195,14 @@ def aligned(item: list[int], words: np.ndarray, seeds: np.ndarray) -> int:
 
 def find(shard: Shard, items: Items, share: float = SHARE) -> list[tuple[int, int, int, int]]:
     """(document's place in the shard, item id, words held, longest verbatim match) of each leak."""
-    test, text = shard.matches(items)
+    test, text, length = shard.longest(items)
     if not len(test):
         return []
     owner = items.owner[test]
     doc = np.searchsorted(shard.doc_start, text, side="right") - 1
     pair = doc * len(items.ids) + owner
     order = np.lexsort((test, pair))
-    pair, test, text = pair[order], test[order], text[order]
+    pair, test, text, length = pair[order], test[order], text[order], length[order]
     first = np.concatenate([[True], pair[1:] != pair[:-1]])
     # how many words of the item the seeds of the pair cover at most: too few can't be completed to the share
     fresh = first | (test != np.concatenate([[-1], test[:-1]]))
@@ -207,8 +220,7 @@ def find(shard: Shard, items: Items, share: float = SHARE) -> list[tuple[int, in
         seeds_here = np.stack([test[s:e] - items.start[k], text[s:e]], axis=1)
         held = aligned(items.words[items.ids[k]], shard.words, seeds_here)
         if held >= share * n:
-            chain = np.unique(seeds_here[:, 1] - seeds_here[:, 0], return_counts=True)[1].max() + SEED - 1
-            found.append((d, items.ids[k], held, int(min(chain, n))))
+            found.append((d, items.ids[k], held, int(length[s:e].max())))
     return found
 
 
@@ -248,6 +260,23 @@ def leaks(documents: DataFrame, items: DataFrame, share: float = SHARE) -> DataF
     return rows.mapInArrow(run, "doc_id bigint, item_id bigint, words_held int, longest_match int")
 
 
+def unaffected(documents: DataFrame, items: DataFrame, share: float = SHARE) -> DataFrame:
+    """The rows of the documents that no item leaked into, with all their columns; they are filtered where they lie."""
+    blocks = item_blocks(items)
+
+    def run(it):
+        made = [Items(block) for block in blocks]
+        for batch in it:
+            texts = strings(batch, "text")
+            keep = np.ones(len(texts), bool)
+            for block in made:
+                if block.ids:
+                    keep[[d for d, *_ in find(Shard(texts, block.vocabulary), block, share)]] = False
+            yield batch.filter(pa.array(keep))
+
+    return documents.mapInArrow(run, documents.schema)
+
+
 def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents and the evaluation items leaked into them."""
     return leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "eval_items")).select("doc_id", "item_id").distinct()
@@ -262,3 +291,8 @@ def p9_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     items = read(spark, sf_dir, "eval_items").select("item_id", "suite").distinct()
     return items.join(per_item, "item_id", "left").select("item_id", "suite", F.coalesce("documents", F.lit(0)).alias("documents"), F.coalesce("sources", F.lit(0)).alias("sources"), "most_words", "longest_match")
+
+
+def p9_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The corpus without the documents that an evaluation item leaked into; those without an id or a text stay."""
+    return unaffected(read(spark, sf_dir, "documents"), read(spark, sf_dir, "eval_items"))

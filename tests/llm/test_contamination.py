@@ -1,6 +1,6 @@
 import random
 
-from folioflow.llm.contamination import Items, Shard, common_length, find, item_blocks, leaks, words_of
+from folioflow.llm.contamination import Items, Shard, common_length, find, item_blocks, leaks, p9_clean, words_of
 
 random.seed(7)
 VOCABULARY = [f"w{i:03d}" for i in range(400)]
@@ -65,3 +65,22 @@ def test_rows(spark):
     assert {(r.doc_id, r.item_id) for r in leaks(documents, items).collect()} == {(1, 0), (4, 1)}
     assert item_blocks(items.limit(0)) == [[]]
     assert leaks(documents, items.limit(0)).count() == 0
+
+
+def test_longest_match_is_one_verbatim_run():
+    words = [f"v{i}" for i in range(20)]
+    items = Items([(1, " ".join(words)), (2, "v3 v4")])
+    copy = [*words[:9], "other", *words[10:]]
+    assert find(Shard([filler(10) + " " + " ".join(copy), None, " ".join(words)], items.vocabulary), items)[0][1:] == (1, 19, 10)
+    shard = Shard([filler(30) + " " + " ".join(copy), " ".join(words)], items.vocabulary)
+    test, text, length = shard.longest(items)
+    for i, j, n in zip(test.tolist(), text.tolist(), length.tolist()):
+        mine = items.flat[i : items.start[items.owner[i] + 1]].tolist()
+        assert n == next((k for k, (a, b) in enumerate(zip(mine, shard.words[j:].tolist())) if a != b), len(mine))
+
+
+def test_clean_corpus_leaves_affected_documents_out(spark, tmp_path):
+    documents = spark.createDataFrame([(1, filler(5) + " " + ITEMS[0][1]), (2, "nothing of it"), (3, None), (None, "no id")], "doc_id long, text string")
+    documents.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(ITEMS, "item_id long, item_text string").write.parquet(f"{tmp_path}/eval_items.parquet")
+    assert {r.doc_id for r in p9_clean(spark, str(tmp_path)).collect()} == {2, 3, None}
