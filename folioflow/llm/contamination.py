@@ -4,9 +4,10 @@ Each shard (an Arrow batch of documents) gets a suffix array over its words: the
 suffixes, sorted by prefix doubling until no more of them differ.  Every suffix of
 every test item is searched in it by binary search on growing prefixes, which gives
 the places of its verbatim matches of three words or more, and the length of each.
-Matches of one item that lie in one place and in order make a candidate; an
-alignment of the words there decides.  Documents that hold an item are left out of
-the clean corpus.
+Copies with many single words replaced may have no such match.  So every document
+that shares enough words with an item, in any order, is a candidate; windows of the
+item's length and some slack that hold enough of its words are aligned exactly.
+Documents that hold an item are left out of the clean corpus.
 
 Words are compared after NFKC, case folding and removal of markup, punctuation,
 invisible characters and hyphens at line ends.
@@ -16,12 +17,13 @@ pairs.  The items (a held-out set of bounded size, checked) go to every shard;
 more than one block of them is searched block by block.
 
 Defined cases: null and empty texts or items match nothing; an item of fewer than
-three words is found only whole; repeated rows give one pair.
+three words is found only whole, one of up to five by three words in order; repeated rows give one pair.
 """
 
 from __future__ import annotations
 
 import html
+import math
 import re
 import unicodedata
 from collections import defaultdict
@@ -35,6 +37,7 @@ from .common import frame, read, strings
 
 SHARE = 0.5
 SEED = 3
+EXPANDED = 2_000_000
 BLOCK_WORDS = 200_000
 MAX_ITEM_BYTES = 64 << 20
 
@@ -77,6 +80,16 @@ class Items:
         # the first words of each suffix, 0 behind the item's end
         self.suffix = np.stack([self.word(np.arange(len(self.flat)), d) for d in range(SEED)], axis=1)
 
+        self.kinds = [np.unique(self.words[i], return_counts=True) for i in self.ids]
+        # by the half power of two that holds an item's span: for each word, the items that have it and how often
+        spans, number = np.array([span_of(n) for n in self.length.tolist()], np.int64), max(1, len(self.ids))
+        key, times = np.unique(self.flat.astype(np.int64) * number + self.owner, return_counts=True)
+        power = np.ceil(2 * np.log2(spans)).astype(np.int64)
+        self.postings: list[tuple[int, np.ndarray, np.ndarray, np.ndarray]] = []
+        for e in np.unique(power).tolist():
+            mine = power[key % number] == e
+            self.postings.append((math.ceil(2 ** (e / 2 - 1)), np.searchsorted(key[mine] // number, np.arange(len(self.vocabulary) + 2)), key[mine] % number, times[mine]))
+
     def word(self, suffix: np.ndarray, d: int) -> np.ndarray:
         """Word ``d`` of each suffix, 0 behind its item's end."""
         inside = suffix + d < self.start[self.owner[suffix] + 1]
@@ -98,16 +111,33 @@ class Shard:
                 total += len(part)
             self.doc_start[i + 1] = total
         self.words = np.concatenate([*parts, np.zeros(SEED, np.int32)]) if parts else np.zeros(SEED, np.int32)
-        rank = self.words.astype(np.int64)
-        width, kinds, before = 1, len(np.unique(rank)), 0
-        while kinds > before:  # prefix doubling: ranks by 1, 2, 4, ... words, until no more suffixes differ
-            second = np.zeros(len(rank), np.int64)
-            second[:-width] = rank[width:]
-            second[rank == 0] = 0  # nothing is compared behind a match's end
-            values, rank = np.unique(rank * (rank.max() + 1 + len(rank)) + second, return_inverse=True)
-            width, kinds, before = 2 * width, len(values), kinds
+        self.array = self._sorted(len(vocabulary).bit_length())
+
+    def _sorted(self, bits: int) -> np.ndarray:
+        """The suffixes in order: by as many words as a key holds, then, where they tie, by prefix doubling until no more of them differ."""
         at = np.flatnonzero(self.words > 0)
-        self.array = at[np.argsort(rank[at], kind="stable")]
+        if not len(at):
+            return at
+        ends = np.flatnonzero(self.words == 0)
+        rest = ends[np.searchsorted(ends, at)] - at
+        width, key = 62 // bits, np.zeros(len(at), np.int64)
+        for d in range(width):
+            key = (key << bits) | np.where(d < rest, self.words[np.minimum(at + d, len(self.words) - 1)], 0)
+        order = np.argsort(key, kind="stable")
+        array, rest, key = at[order], rest[order], key[order]
+        new = np.concatenate([[True], key[1:] != key[:-1]])
+        rank = np.zeros(len(self.words), np.int64)
+        while True:
+            rank[array] = np.maximum.accumulate(np.where(new, np.arange(1, len(new) + 1), 0))
+            tied = np.flatnonzero(~(new & np.append(new[1:], True)) & (rest >= width))
+            if not len(tied):
+                return array
+            second = rank[array[tied] + width]  # 0 where the suffix ends there; what ended before is in order
+            key = rank[array[tied]] * (len(array) + 1) + second
+            order = np.argsort(key, kind="stable")
+            array[tied], rest[tied], key = array[tied][order], rest[tied][order], key[order]
+            new[tied[1:]] |= key[1:] != key[:-1]
+            width *= 2
 
     def narrow(self, low: np.ndarray, high: np.ndarray, d: int, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """By binary search, the parts of ranges of the suffix array, alike in their first ``d`` words, that go on with ``word``."""
@@ -172,55 +202,100 @@ def common_length(a: list[int], b: list[int]) -> int:
     return len(a) - state.bit_count()
 
 
-def aligned(item: list[int], words: np.ndarray, seeds: np.ndarray) -> int:
-    """Most words of the item held in order in one place of a document, given its seed matches (test, text positions)."""
-    n, best = len(item), 0
-    seeds = seeds[np.lexsort((seeds[:, 0], seeds[:, 1]))]
-    text, slack = seeds[:, 1], max(4, n // 4)
-    group = np.concatenate([[0], np.cumsum(np.diff(text) > 2 * slack)])
-    for g in range(group[-1] + 1):
-        part = seeds[group == g]
-        diagonal = part[:, 1] - part[:, 0]
-        # one place: what starts within the slack of the same start; each start may be tried
-        tried = set()
-        for middle in np.unique(diagonal // max(1, slack)):
-            near = part[np.abs(diagonal - (middle * slack + slack // 2)) <= slack]
-            span = int(near[:, 0].min()), int(near[:, 0].max()) + SEED, int(near[:, 1].min()), int(near[:, 1].max()) + SEED
-            if span in tried or min(span[1], n) - span[0] <= best:
-                continue
-            tried.add(span)
-            best = max(best, common_length(item[span[0] : span[1]], words[span[2] : span[3]].tolist()))
+def needed(n: int, share: float) -> int:
+    """Words that must be held of an item of ``n``; a few words in order are a short phrase, so at least three (all, if it has fewer)."""
+    return max(math.ceil(share * n), min(n, SEED))
+
+
+def span_of(n: int) -> int:
+    """One place: as many words of text as the item has, and the slack on both sides."""
+    return n + 2 * max(4, n // 4)
+
+
+def aligned(words: np.ndarray, item: list[int], need: int, kinds: np.ndarray, limit: np.ndarray) -> int:
+    """Most words of the item in order within one place; 0 if no place holds ``need`` of them in any order.  ``kinds`` and ``limit`` are the item's words and how often it has each."""
+    span = span_of(len(item))
+    found = kinds.searchsorted(words)
+    found[found == len(kinds)] = 0
+    at = (kinds[found] == words).nonzero()[0]
+    if len(at) < need:
+        return 0
+    # how many of the item's words the place from each of them on holds, a word at most as often as the item has it
+    kind = found[at]
+    order = kind.argsort(kind="stable")
+    mine = np.arange(len(at)) - limit[kind[order]]
+    same = (mine >= 0) & (kind[order[np.maximum(mine, 0)]] == kind[order])
+    earlier = np.full(len(at), -1)
+    earlier[order[same]] = at[order[mine[same]]]
+    begin = np.sort(np.maximum(at - span, earlier) + 1)
+    held = begin.searchsorted(at, side="right") - np.arange(len(at))
+    best = 0
+    for i in (-held).argsort(kind="stable").tolist():
+        if held[i] < max(need, best + 1):
+            break
+        best = max(best, common_length(item, words[at[i : at.searchsorted(at[i] + span)]].tolist()))
     return best
 
 
+def candidates(shard: Shard, items: Items, share: float):
+    """(document's place, item's place, first and last text position) of all stretches that share, in any order, as many words as an item needs; no leak lies outside them."""
+    at = np.flatnonzero(shard.words > 0)
+    if not len(at):
+        return
+    size, number = len(items.vocabulary) + 1, len(items.ids)
+    need = np.array([needed(n, share) for n in items.length.tolist()])
+    doc = np.searchsorted(shard.doc_start, at, side="right") - 1
+    for step, start, item, has in items.postings:
+        # stretches of three steps, one from each step; a place has two at most, so it lies whole in one of them
+        stretches = np.maximum(-(-np.diff(shard.doc_start) // step) - 2, 1)
+        base = np.cumsum(stretches) - stretches
+        local = (at - shard.doc_start[doc]) // step
+        inside = [(local - back >= 0) & (local - back < stretches[doc]) for back in range(3)]
+        key = np.concatenate([(base[doc] + local - back)[i] * size + shard.words[at][i] for back, i in enumerate(inside)])
+        key, times = np.unique(key, return_counts=True)
+        block, word = key // size, key % size
+        count = start[word + 1] - start[word]
+        total = np.cumsum(count)
+        first = 0
+        while first < len(block):  # as many stretches at a time as have EXPANDED postings, or one
+            last = int(np.searchsorted(total, (total[first - 1] if first else 0) + EXPANDED, side="right"))
+            if last < len(block):
+                last = int(np.searchsorted(block, max(block[last], block[first] + 1)))
+            some = slice(first, last)
+            place = _ranges(start[word[some]], count[some])
+            pair = np.repeat((block[some] - block[first]) * number, count[some]) + item[place]
+            shared = np.bincount(pair, np.minimum(np.repeat(times[some], count[some]), has[place]), minlength=number)
+            hit = np.flatnonzero(shared)
+            hit = hit[shared[hit] >= need[hit % number]]
+            owner = np.searchsorted(base, hit // number + block[first], side="right") - 1
+            begin = shard.doc_start[owner] + (hit // number + block[first] - base[owner]) * step
+            yield from zip(owner.tolist(), (hit % number).tolist(), begin.tolist(), np.minimum(begin + 3 * step, shard.doc_start[owner + 1]).tolist())
+            first = last
+
+
 def find(shard: Shard, items: Items, share: float = SHARE) -> list[tuple[int, int, int, int]]:
     """(document's place in the shard, item id, words held, longest verbatim match) of each leak."""
     test, text, length = shard.longest(items)
-    if not len(test):
-        return []
-    owner = items.owner[test]
-    doc = np.searchsorted(shard.doc_start, text, side="right") - 1
-    pair = doc * len(items.ids) + owner
-    order = np.lexsort((test, pair))
-    pair, test, text, length = pair[order], test[order], text[order], length[order]
-    first = np.concatenate([[True], pair[1:] != pair[:-1]])
-    # how many words of the item the seeds of the pair cover at most: too few can't be completed to the share
-    fresh = first | (test != np.concatenate([[-1], test[:-1]]))
-    starts = np.flatnonzero(first)
-    distinct = np.add.reduceat(fresh.astype(np.int64), starts)
-    ends = np.concatenate([starts[1:], [len(pair)]])
-    found = []
-    for s, e, seeds in zip(starts.tolist(), ends.tolist(), distinct.tolist()):
-        k = int(pair[s] % len(items.ids))
+    pair = (np.searchsorted(shard.doc_start, text, side="right") - 1) * len(items.ids) + items.owner[test]
+    order = np.lexsort((length, pair))
+    last = order[np.append(pair[order][1:] != pair[order][:-1], True)] if len(pair) else order
+    longest = dict(zip(pair[last].tolist(), length[last].tolist()))
+    best: dict[tuple[int, int], int] = defaultdict(int)
+    for d, k, begin, end in candidates(shard, items, share):
         n = int(items.length[k])
-        # a run of r seeds holds r + 2 words and a replaced word costs three seeds, so half of the words in order leave this many
-        if n > 2 * SEED and seeds < max(2, n * share * 0.15):
-            continue
-        d = int(pair[s] // len(items.ids))
-        seeds_here = np.stack([test[s:e] - items.start[k], text[s:e]], axis=1)
-        held = aligned(items.words[items.ids[k]], shard.words, seeds_here)
-        if held >= share * n:
-            found.append((d, items.ids[k], held, int(length[s:e].max())))
+        if n < SEED:
+            held = n if d * len(items.ids) + k in longest else 0
+        else:
+            held = aligned(shard.words[begin:end], items.words[items.ids[k]], needed(n, share), *items.kinds[k])
+        if held >= needed(n, share):
+            best[d, k] = max(best[d, k], held)
+    found = []
+    for (d, k), held in sorted(best.items()):
+        run = longest.get(d * len(items.ids) + k)
+        if run is None:  # no three words stand side by side
+            item, words = items.words[items.ids[k]], shard.words[shard.doc_start[d] : shard.doc_start[d + 1]].tolist()
+            run = 1 + (not set(zip(item, item[1:])).isdisjoint(zip(words, words[1:])))
+        found.append((d, items.ids[k], held, run))
     return found
 
 

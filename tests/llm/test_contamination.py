@@ -84,3 +84,32 @@ def test_clean_corpus_leaves_affected_documents_out(spark, tmp_path):
     documents.write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame(ITEMS, "item_id long, item_text string").write.parquet(f"{tmp_path}/eval_items.parquet")
     assert {r.doc_id for r in p9_clean(spark, str(tmp_path)).collect()} == {2, 3, None}
+
+
+def test_no_verbatim_match_is_needed():
+    long = [f"v{i}" for i in range(88)]
+    short = [f"u{i}" for i in range(24)]
+    items = Items([(1, " ".join(short)), (2, " ".join(long))])
+    third = [f"other{i}" if i % 3 == 2 else w for i, w in enumerate(short)]
+    twos = [w for i, w in enumerate(long) if i % 4 < 2]
+    docs = [filler(30) + " " + " ".join(third) + " " + filler(30), filler(30) + " " + " ".join(twos) + " " + filler(30)]
+    assert find(Shard(docs, items.vocabulary), items) == [(0, 1, 16, 2), (1, 2, 44, 2)]
+    half = Items([(1, " ".join(long[:20]))])
+    assert find(Shard([" ".join([long[0], "other", *long[2:11]])], half.vocabulary), half) == [(0, 1, 10, 9)]
+
+
+def test_same_pairs_as_brute_force():
+    letters = [f"w{i}" for i in range(30)]
+    for _ in range(15):
+        items = Items([(k, " ".join(random.choices(letters, k=random.randint(6, 40)))) for k in range(6)])
+        docs = [" ".join(random.choices([*letters, *(["x"] * 20)], k=random.randint(0, 300))) for _ in range(8)]
+        shard = Shard(docs, items.vocabulary)
+        truth = set()
+        for d in range(len(docs)):
+            words = shard.words[shard.doc_start[d] : shard.doc_start[d + 1]].tolist()
+            for k, item in items.words.items():
+                span = len(item) + 2 * max(4, len(item) // 4)
+                held = max((common_length(item, words[i : i + span]) for i in range(len(words))), default=0)
+                if 2 * held >= len(item):
+                    truth.add((d, k, held))
+        assert {x[:3] for x in find(shard, items)} == truth
