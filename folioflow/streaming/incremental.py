@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,15 +13,39 @@ from ..config import Config
 from ..operators.validate import validate
 
 
+_JUDGED = ["pdf_id", "run_id", "created_at", "body_hash"]
+
+
 def validated_stream(spark: SparkSession, source: str, target: str, checkpoint: str, schema, config: Config = Config(), once: bool = True) -> StreamingQuery:
-    """Judges each new cleaned body as it arrives; exact copies of a row within a day are judged once."""
+    """Judges each new cleaned body as it arrives, however late; exact copies of a row are judged once.
+
+    What was judged is known from the target: a row is new if its key and the hash of its body aren't there yet.  So a
+    batch that is replayed adds only what it hadn't written.
+    """
+
+    def run(batch: DataFrame, number: int) -> None:
+        fresh = batch.withColumn("body_hash", F.sha2("body", 256)).dropDuplicates(_JUDGED)
+        known = _written(spark, target)
+        if known is not None:
+            same = [fresh[c].eqNullSafe(known[c]) for c in _JUDGED]
+            fresh = fresh.join(known, reduce(lambda a, b: a & b, same), "left_anti")
+        judged = validate(fresh, config).select(*_JUDGED, "content_words", "content_chars", "failure_signal", "unique_word_ratio", "status", "reason")
+        judged.write.mode("append").parquet(target)
+
     rows = spark.readStream.schema(schema).parquet(source)
-    fresh = rows.withWatermark("created_at", "1 day").dropDuplicatesWithinWatermark(["pdf_id", "run_id", "created_at"])
-    judged = validate(fresh, config).select("pdf_id", "run_id", "created_at", "content_words", "content_chars", "failure_signal", "unique_word_ratio", "status", "reason")
-    writer = judged.writeStream.format("parquet").option("path", target).option("checkpointLocation", checkpoint).outputMode("append")
+    writer = rows.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if once else writer).start()
 
 
+def _written(spark: SparkSession, target: str) -> DataFrame | None:
+    """The keys of the judged rows, if there are any yet."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(target)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(path) or not any(f.getPath().getName().endswith(".parquet") for f in files.listStatus(path)):
+        return None
+    return spark.read.parquet(target).select(*_JUDGED)
+
+
 def stage_latency_stream(spark: SparkSession, source: str, checkpoint: str, schema, name: str = "stage_latency") -> StreamingQuery:
     """Rows, failures and mean time of each stage in hourly windows, late rows accepted for two days."""
     rows = spark.readStream.schema(schema).parquet(source).withWatermark("created_at", "2 days")

@@ -17,6 +17,18 @@ def test_new_bodies_are_judged_once(spark, tmp_path):
     assert spark.read.parquet(out).count() == 2
 
 
+def test_late_bodies_and_other_bodies_of_one_key_are_judged(spark, tmp_path):
+    src, out, cp = (str(tmp_path / x) for x in ("src", "out", "cp"))
+    t = dt.datetime(2026, 1, 1)
+    schema = "pdf_id string, run_id string, created_at timestamp, body string"
+    batches = [[("a", "r", t, "new")], [("b", "r", t - dt.timedelta(days=40), "late"), ("a", "r", t, "new")], [("a", "r", t, "other words"), ("b", None, None, None), ("b", None, None, None)], [("b", None, None, None), ("c", "r", t - dt.timedelta(days=90), "later")]]
+    for batch in batches:
+        spark.createDataFrame(batch, schema).write.mode("append").parquet(src)
+        validated_stream(spark, src, out, cp, spark.read.parquet(src).schema).awaitTermination()
+    rows = sorted((r.pdf_id, r.run_id or "", r.content_words) for r in spark.read.parquet(out).collect())
+    assert rows == [("a", "r", 1), ("a", "r", 2), ("b", "", 0), ("b", "r", 1), ("c", "r", 1)]
+
+
 def test_windowed_latency_and_batches(spark, tmp_path):
     src = str(tmp_path / "s")
     t = dt.datetime(2026, 1, 1, 10, 5)
