@@ -134,6 +134,13 @@ def cache_prefixes(spark, d):
     return table(spark, d, "documents").select("doc_id", F.concat(cache_prefix(F.col("doc_id")), F.coalesce(F.left("text", F.lit(40)), F.lit(""))).alias("input"))
 
 
+@query(f"""
+SELECT doc_id, ({quoted(CACHE_PREFIXES)})[((doc_id % 13 + 13) % 13 + 1)::INT] || coalesce(text, '') AS input FROM documents""")
+def cache_inputs(spark, d):
+    """PRJ6: every whole text behind its prefix character, as the model gets it."""
+    return table(spark, d, "documents").select("doc_id", F.concat(cache_prefix(F.col("doc_id")), F.coalesce("text", F.lit(""))).alias("input"))
+
+
 @query("""SELECT run_id, pdf_id, coalesce(predicted_label, '') = '' OR coalesce(pdf_name, '') = '' OR coalesce(summary, '') = '' AS missing FROM (SELECT DISTINCT run_id, pdf_id, predicted_label, pdf_name, summary FROM document_metrics)""")
 def required_fields(spark, d):
     """FIL19: records that lack a type, a name or a description."""

@@ -1,5 +1,6 @@
 import json
 
+from folioflow.catalog import queries
 from folioflow.models.backends import FACTORIES, register
 from folioflow.operators.singleturn import ChatClient, single_turn
 from folioflow.plans import log
@@ -37,6 +38,14 @@ def test_records_retries_and_quarantine(spark, tmp_path):
     assert rows[5].name == "Name"
 
 
+def test_inputs_hold_the_whole_text(spark, tmp_path):
+    texts = {1: "word " * 100, 2: None, 14: "short"}
+    spark.createDataFrame(list(texts.items()), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    rows = {r.doc_id: r.input for r in queries()["cache_inputs"](spark, str(tmp_path)).collect()}
+    assert {k: v[1:] for k, v in rows.items()} == {k: t or "" for k, t in texts.items()}
+    assert rows[1][0] == rows[14][0] != rows[2][0]
+
+
 def test_chat_client_uses_its_transport():
     calls = []
 
