@@ -1,12 +1,14 @@
 """Problem 2: page furniture around the article, by consensus host paths.
 
 A text has no tags, so a line's path is its generalised form, case and spacing
-folded; a second path keeps only what stands before a separator; the sentences of
-a block, unwrapped, have paths of their own.  Every page's
+folded; a second path keeps only what stands before a separator, a third folds the
+digits too; the sentences of a block, unwrapped, have paths of their own.  Every page's
 containers are scored first (menus, notices, share bars, related links and footers
 by their wording and place).  Then the hosts vote: a path in clearly more
 than 3 % of a host's documents (and three), or across a good part of all hosts, is
-furniture.  The pages are extracted again with the winning paths, and with the
+furniture.  Ballots from scored containers weigh more: a path that is hardly seen
+elsewhere needs only so many of them as grow with the root of the host, because
+lines of articles repeat by chance in proportion to it.  The pages are extracted again with the winning paths, and with the
 rules that need neighbours: the links below a heading for related links, and lines
 that stand at the head or foot of several pages.
 
@@ -35,10 +37,13 @@ from .common import frame, read, written
 
 #: a path wins on a host from HOST_LEAST documents and from HOST_SHARE of them plus two standard deviations on
 HOST_SHARE, HOST_LEAST = 0.03, 3
+#: or, if this part of its documents have it in a scored container, from HOST_LEAST of them and two of those deviations on
+SCORED = 0.8
 ALL_SHARE, ALL_HOSTS = 0.02, 0.3
 BROADCAST_ROWS = 200_000
 SALTS = 64
 
+FOLDED = 2
 FURNITURE, RELATED, SENTENCE, HEADLINE, BLOCK_START, EDGE, REPEATED, STOP, ROW, ITEM = 1, 2, 4, 8, 16, 32, 64, 128, 256, 512
 
 # Headings of related links and the wording of common page furniture.
@@ -68,7 +73,7 @@ _INSIDE = re.compile(
     r"^(?:.*(?:本网站使用|当サイトは|कुकी का उपयोग|ใช้คุกกี้|utilisons des cookies|verwenden Cookies|Usamos cookies|файлы cookie|ملفات تعريف الارتباط).*|"
     r".*\bAll rights reserved\.?|.+ is a trading name of .+|.{2,60}(?: [-|]|:) .{2,90} - page \d+ of \d+|.{2,50}(?: [-|]|:) Print view(?: - page \d+ of \d+)?)$"
 )
-_DIGIT, _COLUMNS = re.compile(r"\d"), re.compile(r" {3,}")
+_DIGIT, _DIGITS, _COLUMNS = re.compile(r"\d"), re.compile(r"\d+"), re.compile(r" {3,}")
 _SPANS = re.compile(
     "|".join(
         p.replace(" ", r"\s+")
@@ -102,12 +107,17 @@ _ITEM = re.compile(r"^(?:[-*•·]|\d{1,2}[.)])\s+")
 
 
 def _hash(text: str) -> int:
-    return xxhash.xxh64_intdigest(text) - (1 << 63)
+    return (xxhash.xxh64_intdigest(text) - (1 << 63)) & -4  # the lowest bit of a ballot says whether its container is scored, the next whether digits are folded
 
 
 def path_of(line: str) -> int:
     """The generalised path of a line."""
-    return xxhash.xxh64_intdigest(" ".join(line.split()).casefold()) - (1 << 63)
+    return _hash(" ".join(line.split()).casefold())
+
+
+def folded_path(line: str) -> int:
+    """The path of a line whose digits are folded; 0 where it has none.  It wins by ballots of scored containers only, since articles repeat such forms."""
+    return FOLDED | _hash("\x02" + _DIGITS.sub("0", " ".join(line.split()).casefold())) if _DIGIT.search(line) else 0
 
 
 def prefix_path(line: str) -> int:
@@ -126,8 +136,8 @@ SEEN_LINES = 20_000
 _SEEN: dict[str, tuple] = {}
 
 
-def _facts(line: str) -> tuple[int, int, int, tuple[str, int] | None, bool]:
-    """(path, prefix path, flags, cells of a row, whether it has digits) of a line."""
+def _facts(line: str) -> tuple[int, int, int, int, tuple[str, int] | None, bool]:
+    """(path, prefix path, folded path, flags, cells of a row, whether it has digits) of a line."""
     flags = 0
     if len(line) <= 60 and _RELATED.match(line):
         flags = RELATED | FURNITURE
@@ -142,13 +152,13 @@ def _facts(line: str) -> tuple[int, int, int, tuple[str, int] | None, bool]:
     if _ITEM.match(line):
         flags |= ITEM
     cells = _cells(line)
-    return path_of(line), prefix_path(line), flags, cells, cells is not None and _DIGIT.search(line) is not None
+    return path_of(line), prefix_path(line), folded_path(line), flags, cells, cells is not None and _DIGIT.search(line) is not None
 
 
 class Lines:
     """What leaves a text: for each line its place, paths and flags; for each sentence its lines and path."""
 
-    __slots__ = ("page", "line", "path", "prefix", "flags", "first", "last", "sentence", "size")
+    __slots__ = ("page", "line", "path", "prefix", "folded", "flags", "first", "last", "sentence", "size", "ballots")
 
     def __init__(self):
         for name in self.__slots__:
@@ -176,7 +186,7 @@ class Lines:
                 if len(_SEEN) >= SEEN_LINES:
                     _SEEN.clear()
                 known = _SEEN[line] = _facts(line)
-            path, prefix, flags, cells, digits = known
+            path, prefix, folded, flags, cells, digits = known
             if fresh:
                 flags |= BLOCK_START
                 fresh = False
@@ -191,6 +201,7 @@ class Lines:
             self.line.append(no)
             self.path.append(path)
             self.prefix.append(prefix)
+            self.folded.append(folded)
             self.flags.append(flags)
         self._sentences(block)
         count = len(self.page) - begin
@@ -220,22 +231,33 @@ class Lines:
 
     def finish(self) -> None:
         """Marks lines without a stop, alone at the edges of pages, that stand on at least three, and half, of a text's pages."""
-        least = max(3, len(set(self.page)) / 2)
-        if least > len(set(self.page)):
-            return
         n, seen, where = len(self.page), {}, []
         for i, (page, path, flags) in enumerate(zip(self.page, self.path, self.flags)):
             alone = flags & BLOCK_START and (i + 1 == n or self.page[i + 1] != page or self.flags[i + 1] & BLOCK_START)
             if alone and flags & EDGE and not flags & SENTENCE:
                 seen.setdefault(path, set()).add(page)
                 where.append(i)
+        least = max(3, len(set(self.page)) / 2)
         for i in where:
             if len(seen[self.path[i]]) >= least:
                 self.flags[i] |= REPEATED
+        self._cast({*where, *(i for i, flags in enumerate(self.flags) if flags & (FURNITURE | REPEATED))})
+
+    def _cast(self, containers: set[int]) -> None:
+        """The text's ballots: each path once, with whether a scored container holds it."""
+        scored: dict[int, int] = dict.fromkeys([*self.path, *self.prefix, *self.folded, *self.sentence], 0)
+        for i in containers:
+            scored[self.path[i]] = scored[self.prefix[i]] = scored[self.folded[i]] = 1
+        for first, last, sentence in zip(self.first, self.last, self.sentence):
+            if all(i in containers for i in range(first, last + 1)):
+                scored[sentence] = 1
+        scored.pop(0, None)
+        self.ballots = [path | bit for path, bit in scored.items()]
 
 
-_ARRAYS = {"page": pa.int32(), "line": pa.int32(), "path": pa.int64(), "prefix": pa.int64(), "flags": pa.int32(), "first": pa.int32(), "last": pa.int32(), "sentence": pa.int64(), "size": pa.int32()}
-_SCHEMA = "pdf_id string, field string, title bigint, " + ", ".join(f"{n} array<{'bigint' if t == pa.int64() else 'int'}>" for n, t in _ARRAYS.items())
+_ARRAYS = {"page": pa.int32(), "line": pa.int32(), "path": pa.int64(), "prefix": pa.int64(), "folded": pa.int64(), "flags": pa.int32(), "first": pa.int32(), "last": pa.int32(), "sentence": pa.int64(), "size": pa.int32()}
+_BALLOTS = _ARRAYS | {"ballots": pa.int64()}
+_SCHEMA = "pdf_id string, field string, title bigint, " + ", ".join(f"{n} array<{'bigint' if t == pa.int64() else 'int'}>" for n, t in _BALLOTS.items())
 
 
 def scored(texts: DataFrame) -> DataFrame:
@@ -243,7 +265,7 @@ def scored(texts: DataFrame) -> DataFrame:
 
     def run(it):
         for batch in it:
-            out: list[list] = [[] for _ in range(3 + len(_ARRAYS))]
+            out: list[list] = [[] for _ in range(3 + len(_BALLOTS))]
             for pdf, field, title, pages in zip(*(batch.column(i).to_pylist() for i in range(4))):
                 lines = Lines()
                 for number, text in enumerate(pages or (), 1):
@@ -252,32 +274,34 @@ def scored(texts: DataFrame) -> DataFrame:
                 if not lines.page:
                     continue
                 lines.finish()
-                values = (pdf, field, path_of(title.strip()) if title and title.strip() else None, *(getattr(lines, n) for n in _ARRAYS))
+                values = (pdf, field, path_of(title.strip()) if title and title.strip() else None, *(getattr(lines, n) for n in _ARRAYS), lines.ballots if field == "pages" else [])
                 for column, value in zip(out, values):
                     column.append(value)
-            yield frame(["pdf_id", "field", "title", *_ARRAYS], out, [pa.string(), pa.string(), pa.int64(), *(pa.list_(t) for t in _ARRAYS.values())])
+            yield frame(["pdf_id", "field", "title", *_BALLOTS], out, [pa.string(), pa.string(), pa.int64(), *(pa.list_(t) for t in _BALLOTS.values())])
 
     return texts.select("pdf_id", "field", "title", "pages").mapInArrow(run, _SCHEMA)
 
 
 def votes(rows: DataFrame, hosts: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(host, path) of the paths that win on their host, and (path) of those that win across hosts."""
-    paths = F.array_except(F.array_distinct(F.concat("path", "prefix", "sentence")), F.array(F.lit(0).cast("bigint")))
     # one ballot a document: the join keeps the partitioning by document, so only counts are shuffled after it
-    ballots = rows.where("field = 'pages'").select("pdf_id", paths.alias("paths")).groupBy("pdf_id").agg(F.max("paths").alias("paths"))
-    placed = ballots.join(hosts, "pdf_id").where("host IS NOT NULL").select("host", F.explode("paths").alias("path"))
-    known = placed.groupBy("host", "path").agg(F.count(F.lit(1)).alias("n")).where("n >= 2")
+    ballots = rows.where("field = 'pages'").select("pdf_id", "ballots").groupBy("pdf_id").agg(F.max("ballots").alias("ballots"))
+    placed = ballots.join(hosts, "pdf_id").where("host IS NOT NULL").select("host", F.explode("ballots").alias("ballot")).select("host", F.expr("ballot & -2L").alias("path"), F.expr("ballot & 1L").alias("scored"))
+    known = placed.groupBy("host", "path").agg(F.count(F.lit(1)).alias("n"), F.sum("scored").alias("scored")).where("n >= 2")
     sizes = hosts.groupBy("host").agg(F.count_distinct("pdf_id").alias("documents"))
     sizes_of = sizes.where("host IS NOT NULL")
     expected = HOST_SHARE * F.col("documents")
-    local = known.join(sizes_of, "host").where((F.col("n") >= HOST_LEAST) & (F.col("n") >= expected + 2 * F.sqrt(expected))).select("host", "path")
+    deviations = 2 * F.sqrt(expected)
+    often = (F.expr(f"path & {FOLDED}L") == 0) & (F.col("n") >= HOST_LEAST) & (F.col("n") >= expected + deviations)
+    in_containers = (F.col("scored") >= SCORED * F.col("n")) & (F.col("scored") >= HOST_LEAST + deviations)
+    local = known.join(sizes_of, "host").where(often | in_containers).select("host", "path")
     documents, all_hosts = sizes.agg(F.coalesce(F.sum("documents"), F.lit(0)), F.count(F.lit(1))).first()
-    spread = known.groupBy("path").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("on_hosts"))
+    spread = known.where(F.expr(f"path & {FOLDED}L") == 0).groupBy("path").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("on_hosts"))
     everywhere = spread.where((F.col("n") >= ALL_SHARE * documents) & (F.col("on_hosts") >= max(3, ALL_HOSTS * all_hosts))).select("path")
     return local, everywhere
 
 
-def decide(page, line, path, prefix, flags, first, last, sentence, size, title, won) -> np.ndarray:
+def decide(page, line, path, prefix, folded, flags, first, last, sentence, size, title, won) -> np.ndarray:
     """Which lines of a text are furniture, given the winning paths."""
     n = len(page)
     out = np.zeros(n, bool)
@@ -287,7 +311,7 @@ def decide(page, line, path, prefix, flags, first, last, sentence, size, title,
         if s in won:
             covered[a : b + 1] += k
     for i in range(n):
-        lone = path[i] in won and not (flags[i] & STOP and total[i] > 0)  # what ends a sentence is voted on with it
+        lone = (path[i] in won or folded[i] in won) and not (flags[i] & STOP and total[i] > 0)  # what ends a sentence is voted on with it
         voted = lone or (prefix[i] != 0 and prefix[i] in won) or (total[i] > 0 and covered[i] >= 0.6 * total[i])
         out[i] = bool(flags[i] & (FURNITURE | REPEATED)) or (voted and not flags[i] & ROW)
     for i in range(n):

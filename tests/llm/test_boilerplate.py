@@ -52,3 +52,14 @@ def test_odd_inputs(spark):
     docs = [("a", None, "pages", None, None), ("b", "h", "pages", None, []), ("c", "h", "pages", None, [None, "", " \n "]), ("d", "h", "body", None, ["x" * 100_000])]
     assert run(spark, docs) == set()
     assert b.scored(spark.createDataFrame([], "pdf_id string, field string, title string, pages array<string>")).agg(F.count("*")).first()[0] == 0
+
+
+def test_scored_containers_need_fewer_ballots_and_digits_are_folded(spark):
+    docs = []
+    for i in range(400):
+        # at the head of 15 pages of 400 (below 3 % and two deviations), in the text of as many, and with other digits each time
+        mark = f"Gamma Delta Omega\n\nIssue {i} of Delta\n\n" if i < 15 else ""
+        inner = "Results so far\n" if 20 <= i < 35 else ""
+        filler = "\n\n".join(f"Opening{k}x{i} words follow. {article(i)}" for k in range(4))
+        docs.append((f"d{i}", "h", "pages", None, [f"{mark}{filler}\n\n{inner}{article(i)}\n\n{filler}"]))
+    assert run(spark, docs) == {(f"d{i}", "pages", 1, n) for i in range(15) for n in (1, 3)}
