@@ -43,7 +43,7 @@ ALL_SHARE, ALL_HOSTS = 0.02, 0.3
 BROADCAST_ROWS = 200_000
 SALTS = 64
 
-FOLDED = 2
+LONG, FOLDED = 1000, 2
 FURNITURE, RELATED, SENTENCE, HEADLINE, BLOCK_START, EDGE, REPEATED, STOP, ROW, ITEM = 1, 2, 4, 8, 16, 32, 64, 128, 256, 512
 
 # Headings of related links and the wording of common page furniture.
@@ -220,7 +220,7 @@ class Lines:
         ends = [m.end() for m in _SENTENCES.finditer(joined)]
         for end in [*ends, len(joined)]:
             sentence = joined[at:end].strip()
-            if len(sentence) >= 20 and end - at < 1000:
+            if len(sentence) >= 20:
                 a = bisect_right(starts, at) - 1
                 b = bisect_right(starts, max(at, end - 2)) - 1
                 self.first.append(block[a][0])
@@ -286,8 +286,9 @@ def votes(rows: DataFrame, hosts: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(host, path) of the paths that win on their host, and (path) of those that win across hosts."""
     # one ballot a document: the join keeps the partitioning by document, so only counts are shuffled after it
     ballots = rows.where("field = 'pages'").select("pdf_id", "ballots").groupBy("pdf_id").agg(F.max("ballots").alias("ballots"))
-    placed = ballots.join(hosts, "pdf_id").where("host IS NOT NULL").select("host", F.explode("ballots").alias("ballot")).select("host", F.expr("ballot & -2L").alias("path"), F.expr("ballot & 1L").alias("scored"))
-    known = placed.groupBy("host", "path").agg(F.count(F.lit(1)).alias("n"), F.sum("scored").alias("scored")).where("n >= 2")
+    placed = ballots.join(hosts, "pdf_id", "left").select("host", F.explode("ballots").alias("ballot")).select("host", F.expr("ballot & -2L").alias("path"), F.expr("ballot & 1L").alias("scored"))
+    # by path: the counts of a host and those of all hosts, paths seen once on a host included, need one shuffle
+    known = placed.repartition("path").groupBy("host", "path").agg(F.count(F.lit(1)).alias("n"), F.sum("scored").alias("scored"))
     sizes = hosts.groupBy("host").agg(F.count_distinct("pdf_id").alias("documents"))
     sizes_of = sizes.where("host IS NOT NULL")
     expected = HOST_SHARE * F.col("documents")
@@ -295,8 +296,8 @@ def votes(rows: DataFrame, hosts: DataFrame) -> tuple[DataFrame, DataFrame]:
     often = (F.expr(f"path & {FOLDED}L") == 0) & (F.col("n") >= HOST_LEAST) & (F.col("n") >= expected + deviations)
     in_containers = (F.col("scored") >= SCORED * F.col("n")) & (F.col("scored") >= HOST_LEAST + deviations)
     local = known.join(sizes_of, "host").where(often | in_containers).select("host", "path")
-    documents, all_hosts = sizes.agg(F.coalesce(F.sum("documents"), F.lit(0)), F.count(F.lit(1))).first()
-    spread = known.where(F.expr(f"path & {FOLDED}L") == 0).groupBy("path").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("on_hosts"))
+    documents, all_hosts = sizes.agg(F.coalesce(F.sum("documents"), F.lit(0)), F.count("host")).first()
+    spread = known.where(F.expr(f"path & {FOLDED}L") == 0).groupBy("path").agg(F.sum("n").alias("n"), F.count("host").alias("on_hosts"))
     everywhere = spread.where((F.col("n") >= ALL_SHARE * documents) & (F.col("on_hosts") >= max(3, ALL_HOSTS * all_hosts))).select("path")
     return local, everywhere
 
@@ -307,9 +308,10 @@ def decide(page, line, path, prefix, folded, flags, first, last, sentence, size,
     out = np.zeros(n, bool)
     covered, total = np.zeros(n), np.zeros(n)
     for a, b, s, k in zip(first, last, sentence, size):
-        total[a : b + 1] += k
         if s in won:
             covered[a : b + 1] += k
+        if s in won or k < LONG:  # a long stretch without a stop isn't one sentence; it wins whole, but stands against no line in it
+            total[a : b + 1] += k
     for i in range(n):
         lone = (path[i] in won or folded[i] in won) and not (flags[i] & STOP and total[i] > 0)  # what ends a sentence is voted on with it
         voted = lone or (prefix[i] != 0 and prefix[i] in won) or (total[i] > 0 and covered[i] >= 0.6 * total[i])

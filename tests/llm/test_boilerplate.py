@@ -63,3 +63,17 @@ def test_scored_containers_need_fewer_ballots_and_digits_are_folded(spark):
         filler = "\n\n".join(f"Opening{k}x{i} words follow. {article(i)}" for k in range(4))
         docs.append((f"d{i}", "h", "pages", None, [f"{mark}{filler}\n\n{inner}{article(i)}\n\n{filler}"]))
     assert run(spark, docs) == {(f"d{i}", "pages", 1, n) for i in range(15) for n in (1, 3)}
+
+
+def test_vote_of_all_hosts_counts_single_pages_and_unknown_hosts(spark):
+    # one page a host, and pages of no known host: no path is seen twice on any of them
+    docs = [(f"s{i}", f"h{i}", "pages", None, [f"Alpha Beta Gamma\n\n{article(i)}"]) for i in range(12)]
+    assert run(spark, docs) == {(f"s{i}", "pages", 1, 1) for i in range(12)}
+    unknown = [(p, None, *rest) for p, _, *rest in docs[4:]]
+    assert run(spark, docs[:4] + unknown) == {(f"s{i}", "pages", 1, 1) for i in range(12)}
+
+
+def test_long_sentences_have_ballots(spark):
+    long = "Notice of " + "many words " * 120 + "ends here."
+    docs = [(f"l{i}", "h", "pages", None, [f"{article(i)}\n\n{long}"]) for i in range(8)]
+    assert run(spark, docs) == {(f"l{i}", "pages", 1, 3) for i in range(8)}
