@@ -3,10 +3,14 @@
 Placeholders are told by a grammar for each delimiter: what stands between the
 delimiters must be a field name, so expressions, lookups and format letters that
 articles write about don't match.  A match counts less where the surroundings are
-a code block, a line of code, a quotation or the words of a tutorial; it stands
-if its weight reaches 1.  Notices and error messages must begin their sentence or
-line: an article that reports on them has them in quotation marks or inside a
-sentence.
+a code block, a line of code, a quotation or the words of a tutorial, and less
+again the more of its kind the text only shows; what is left must reach STANDS.
+
+Messages are told by a grammar of slots, not by their wording: a sentence, or a
+line standing alone, that addresses a visitor, asks for something, names a thing
+of the web and says what is wrong with it.  Three filled slots make a message;
+reports about one, quotations and names of others count against it.  Filler is
+told alike, Latin filler by the density of its words in a sentence.
 
 Defined cases: null and empty bodies are no cases; a body with several kinds is
 one row; rows repeated in the table give one result.
@@ -50,55 +54,139 @@ GRAMMARS: dict[str, re.Pattern] = {
 }
 
 _STARTS = re.compile(r"\A[ \t]*|\n[ \t]*|[.!?。:…][ \t]+")
+_BLANK = re.compile(r"\n\s*\n")
 
 
-def _begins(*phrases: str) -> re.Pattern:
-    """The phrases, to be matched where a line or sentence starts; a line break inside them is a space."""
-    return re.compile("|".join(p.replace(" ", r"\s+") for p in phrases))
-
-
-def _starts_with(pattern: re.Pattern, text: str, starts: list[int]) -> bool:
-    return any(pattern.match(text, at) for at in starts)
+def _any(*parts: str) -> re.Pattern:
+    return re.compile("|".join(parts), re.I)
 
 
-FILLER = _begins(
-    r"Your text goes here\b", r"Replace this (?:sample )?(?:paragraph|text)\b", r"This is (?:a placeholder|an example|a sample) (?:post|page|text)\b",
-    r"Edit or delete it, then\b", r"Sample page\.", r"Add a short description of\b", r"Lorem ipsum\b", r"Hello world! Welcome to", r"Click (?:here )?to (?:edit|add)\b",
-    r"(?:This page is )?[Cc]oming soon\b[.!]", r"This page is under construction\b", r"Hier steht Ihr Text\b", r"Texte? d'exemple\b", r"Texto de ejemplo\b", r"Untitled (?:document|page)\b",
+# The slots of a message to a visitor: small classes of words, in the languages of the web pages at hand.
+VISITOR = _any(r"\b(?:you|your|requested|vous|votre|demandée?|usted|su navegador|solicitad[oa]|seu|sua|uw|tuo|вы|вас|ваш\w*|запрашиваем\w*|angeforderte\w*|gewünschte\w*)\b", r"(?-i:\b(?:Sie|Ihre?[nmrs]?)\b)", "[您你]|请求的|あなた|お使い|आपक?|คุณ")
+WE = _any(r"\b(?:we|our|wir|unser\w*|nous|notre|nuestr[oa]s?|мы|наш\w*)\b", "我们|当社")
+ASK = _any(
+    r"^\W*(?:(?:sorry|to (?:continue|go on|proceed)|then),?\s+)?(?:please|enable|activate|allow|turn|switch|verify|confirm|complete|check|return|go back|try|contact|reload|refresh|press|click|sign|log|wait|update|upgrade|accept|solve|bitte|aktivieren|erlauben|veuillez|merci de|activez|activer|autorisez|por favor|active|activar|habilite|permita|ative|ativar|attiva|attivare|abilita|schakel|activeer|пожалуйста|включите|разрешите)\b",
+    r"(?:[,:;] (?:then |so )?|\band |\bor )(?:complete|press|allow|reload|refresh|sign in|log in|try again)\b", "请|启用|开启|打开|ください|有効に|يرجى|الرجاء|कृपया|กรุณา|โปรด",
 )
-
-NOTICES = _begins(
-    r"(?:Please |You need to |You must |To continue, )(?:enable|activate|turn on|allow|switch on)\b[^.!?\n]{0,60}\b(?:JavaScript|Javascript|scripts?|cookies)\b",
-    r"(?:Enable|Activate|Turn on|Allow) (?:JavaScript|cookies|scripts)\b",
-    r"JavaScript (?:is|must be|has to be|appears to be) (?:disabled|required|enabled|turned off|off)\b",
-    r"This (?:site|page|app|website) (?:needs|requires) (?:scripts|JavaScript|cookies)\b",
-    r"Your browser (?:is out of date|does not support|is not supported)\b",
-    r"If you are using an extension that (?:stops|blocks)\b",
-    r"Verify (?:that )?you are (?:a )?human\b", r"(?:Please )?[Cc]onfirm (?:that )?you are (?:a )?(?:human|not a robot)\b", r"Are you a (?:robot|human)\?",
-    r"Checking (?:your browser|if the site connection)\b", r"One more step before you\b", r"Complete the (?:check|security check|captcha)\b",
-    r"Loading(?:\.\.\.|…)?,? please wait\b", r"Please wait while (?:we|your|the)\b[^.\n]{0,40}(?:check|verif|load|fetch|redirect)",
-    r"(?:Just a moment|Attention required)[.!…|]",
-    r"Bitte (?:aktivieren|schalten|erlauben) Sie (?:JavaScript|Cookies|Skripte)\b", r"Veuillez (?:activer|autoriser) (?:JavaScript|les cookies|les scripts)\b", r"(?:Por favor, )?[Aa]ctive (?:JavaScript|las cookies)\b",
-    r"Пожалуйста, включите JavaScript\b", r"请(?:启用|开启|打开)\s*(?:JavaScript|脚本|Cookie)", r"(?:JavaScript|スクリプト)を有効に", r"يرجى تفعيل", r"कृपया (?:JavaScript|जावास्क्रिप्ट)",
+SCRIPT = _any(r"\b(?:java ?script|scripts?|cookies?|captcha|ad ?block\w*|extensions?|skripte?|скрипт\w*)\b", "脚本|スクリプト|جافا|जावास्क्रिप्ट")
+PLACE = _any(
+    r"\b(?:page|site|website|server|upstream|origin|browser|requests?|session|link|address|url|connection|database|resource|content|application|app|seite|anfrage|sitzung|inhalte?|lien|demande|navigateur|contenu|serveur|página|pagina|enlace|solicitud|navegador|servidor|contenido|conteúdo|collegamento|richiesta|страниц\w*|ссылк\w*|запрос\w*|сервер\w*|браузер\w*)\b",
+    "页面|网页|网站|链接|服务器|浏览器|ページ|サイト|リンク|サーバー|ブラウザ|صفحة|الرابط|المتصفح|पृष्ठ|पेज|ลิงก์|เบราว์เซอร์|หน้า",
 )
-
-ERRORS = _begins(
-    r"(?:HTTP )?(?:Error|ERROR|Fehler|Erreur|Ошибка|错误|エラー|خطأ)[ :#-]{0,3}[45]\d\d\b",
-    r"[45]\d\d (?:- |: )?(?:Not Found|Forbidden|Unauthorized|Bad Gateway|Bad Request|Service Unavailable|Gateway Timeout|Internal Server Error|Too Many Requests|Gone)\b",
-    r"(?:Oops|Whoops|Sorry)[!,.]*\s*(?:\([45]\d\d\)|something went wrong|an error|we can't find|that page)", r"Something went wrong\b", r"Server error in\b", r"An? (?:unexpected |internal )?error (?:has )?occurred\b",
-    r"The page (?:you asked for|you requested|you are looking for|requested)\b[^.\n]{0,20}\s+(?:could|can|was|does|doesn't|cannot)\b", r"(?:This|The) page (?:could not be found|does not exist|is not available)\b", r"Page not found\b",
-    r"The link may be broken\b", r"The upstream server did not\b", r"We are carrying out planned work\b", r"The session has expired\b", r"Your session has (?:expired|timed out)\b",
-    r"Sorry, you have been blocked\b", r"You have been blocked\b", r"Access (?:to this (?:page|resource) (?:is|has been) )?[Dd]enied\b[.!]?(?=\s*(?:\n|$|You))",
-    r"You do not have permission to (?:view|access)\b", r"You are not authori[sz]ed to\b", r"You have sent too many requests\b", r"Too many requests\b",
-    r"A database connection could not be\b", r"Error establishing a database connection\b", r"Your request could not be (?:completed|processed)\b",
-    r"Please contact the site owner if\b", r"Please check the address and try again\b", r"Return to the start page or use the search\b", r"Our team has been told about the problem\b",
-    r"Die angeforderte Seite\b[^.\n]{0,20}\s+nicht gefunden\b", r"La page demandée n'(?:existe|est|a)\b", r"La página solicitada no (?:existe|se)\b", r"Страница не найдена\b", r"(?:页面|网页)(?:不存在|未找到)", r"ページが見つかりません",
-    r"Ray ID: ?[0-9a-f]{8,}", r"Reference number: ?#[0-9a-f]{8,}", r"Incident ID: ?#?[0-9a-f]{6,}",
+FAULT = _any(
+    r"\b(?:could|can|was|were|is|are)(?: not|n['’]t|not) (?:be )?(?:found|opened|completed|processed|loaded|displayed|reached|available|supported|shown|verified|authori[sz]ed|permitted)\b", r"\bnot found\b", r"\bno longer (?:exists?|available)\b", r"\bdo(?:es)?(?: not|n['’]t) (?:exist|support|have permission)\b",
+    r"\bdid not (?:answer|respond|reply)\b", r"\b(?:unavailable|forbidden)\b", r"\bexpired\b", r"\btimed? ?out\b", r"\b(?:has|have) been (?:blocked|removed|moved|deleted|suspended|told|logged|notified|informed)\b", r"\bmay be broken\b", r"\bpermission\b", r"\btoo many\b", r"\b(?:switched|turned) off\b", r"\bdisabled\b", r"\bout of date\b",
+    r"\b(?:planned work|maintenance|be back (?:soon|shortly)|mistake|problem|unexpected)\b", r"\bnicht (?:gefunden|verfügbar)\b", r"\b(?:abgelaufen|verweigert|introuvable|indisponible|refusée?|expirée?|caducad[oa]|denegado)\b", r"\bn['’]existe\b", r"\b(?:no|não) (?:existe|encontrad[oa]|se pudo|se encontró|foi)\b", r"\bnon (?:trovat[oa]|esiste|disponibile)\b", r"\b(?:niet gevonden|bestaat niet)\b",
+    r"\bне (?:найден\w*|существует)\b", r"\bнедоступ\w*", "不存在|未找到|找不到|无法|过期|拒绝|見つかりません|存在しません|表示できません|غير موجود|غير متاح|لم يتم العثور|नहीं मिला|ไม่พบ|ไม่สามารถ",
 )
+GRAVE = _any(r"\bsomething went wrong\b", r"\berror (?:has )?occurred\b", r"\bserver error\b", r"\baccess (?:is |was )?denied\b")
+CHECKED = _any(r"\b(?:are you|you are|you're) (?:not )?a (?:human|robot|bot)\b", r"\bsecurity check\b", r"\bone more step\b", r"\bchecking (?:your|if|the site)\b", r"\bloading\b", r"\bplease wait\b", r"\bjust a moment\b")
+NEED = _any(
+    r"\b(?:needs?|must|requires?|required|has to|have to|before (?:you|this|we))\b", r"\bto (?:continue|proceed|go on|view|display|see|run|work|access|load)\b", r"\bpour (?:continuer|afficher|voir|accéder)\b", r"\bpara (?:continuar|ver|acceder|acessar)\b", r"\bper (?:continuare|vedere)\b", r"\bum (?:fortzufahren|diese)\b", r"\bom (?:door|verder|deze)\b", r"\bчтобы\b", "才能|以继续|続行|لمتابعة|जारी",
+)
+NOW = _any(r"\b(?:again|once more|at this time|in a short time|in time|shortly|later|below|start page|home ?page|search box)\b", r"\b(?:sofort|später|plus tard|más tarde|позже)\b", "稍后|再試行")
+EXCLAIMED = _any(r"^\W*(?:oops|whoops|sorry|uh-oh|ups|désolée?|lo sentimos|entschuldigung|ой|извините)\b", "^(?:抱歉|申し訳)")
+CODED = re.compile(
+    r"(?:(?:HTTP|[Ss]tatus|(?:HTTP )?(?i:error|code)|Fehler|Erreur|Erro|Errore|Fout|Ошибка|错误|エラー|خطأ|Oops|Whoops|Sorry)[ :#!(/-]{0,4}(?:(?:status|error|code)[ :#(-]{0,3})?[45]\d\d\b|"
+    r"[45]\d\d (?:- |: )?(?:Not Found|Forbidden|Unauthorized|Bad Gateway|Bad Request|Service Unavailable|Gateway Time-?out|Internal Server Error|Too Many Requests|Gone)\b|"
+    r"(?:Ray|Request|Reference|Incident|Trace|Support|Correlation) (?:ID|[Nn]umber|[Cc]ode)\W{1,4}[0-9a-f-]{6,})"
+)
+
+# The slots of filler.
+FILL = _any(r"\b(?:replace|edit|delete|insert|type|write|add|put|enter|fill|vul|ersetzen|steht|remplacez|saisissez|insérez|escriba|inserte|insira|digite|введите|вставьте|замените)\b", "输入|替换|入力|أدخل|اكتب|दर्ज")
+TEXT = _any(r"\b(?:texte?|texto|testo|tekst|paragraph|words|content|description|headline|caption|post|page|absatz|текст)\b", "文字|文本|テキスト|نص|पाठ|ข้อความ")
+HERE = _any(r"\b(?:here|hier|ici|aqu[íi]|здесь|сюда)\b", "此处|在此|这里|ここ|هنا|यहाँ|ที่นี่")
+SAMPLE = _any(r"\b(?:sample|dummy|placeholder|untitled|beispiel\w*|d'exemple|de ejemplo|de exemplo|voorbeeld\w*|пример\w*)\b", "示例|サンプル|نموذج|नमूना")
+BEGIN = _any(r"\b(?:your own|start writing|goes here|get started|under construction|coming soon)\b", r"^\W*this is an? ")
+
+#: banners that ask for consent are furniture of the page, not messages in place of content
+CONSENT = _any(r"\b(?:uses?|stores?|agree|consent|help us)\b[^.]{0,40}\b(?:cookies|small files|tracking)\b", r"\bcookies help\b")
+#: what tells a report about a message from the message
+REPORTED = _any(
+    r"\b(?:said|told|says|asks?|asked|showed|shows|saw|reported|warned|noticed|copi(?:es|ed)|wrote|described|claims?|claimed|denied|called|found|hid|sent out|pretend\w*|imitat\w*|fake)\b", r"\b(?:visitors?|attackers?|victims?|researchers?|people|customers?|users|lure|kit|gang|crew|phishing|employees|staff|readers)\b",
+)
+_ENGLISH = re.compile(r"\b(?:the|to|of|and|you|your|this|is|are|has|have|a)\b", re.I)
+_NAMED = re.compile(r"(?<=[a-z,;] )(?!Continue|JavaScript|Javascript|HTTP|Accept|Allow|OK|I\b)[A-Z][a-z]+\w*")
+MOST_WORDS = 30
+
+
+def message(unit: str, lone: bool = False) -> str | None:
+    """Whether a sentence or line is an error, a notice or filler, by how many slots of such a message it fills; reports, quotations and names count against it."""
+    unit, quoted = _QUOTED.subn(" ", unit)
+    words = len(unit.split())
+    if words > MOST_WORDS:
+        return None
+    against = 2 * bool(REPORTED.search(unit)) + 2 * quoted + 3 * bool(CONSENT.search(unit))
+    if words > 3 and _ENGLISH.search(unit):
+        against += min(2, len(_NAMED.findall(unit)))
+    few = lambda p, most=2: min(most, len({m.group().lower() for m in p.finditer(unit)}))
+    visitor = bool(VISITOR.search(unit))
+    fill, text = few(FILL), bool(TEXT.search(unit))
+    filler = fill + text + bool(HERE.search(unit)) + bool(SAMPLE.search(unit)) + bool(BEGIN.search(unit)) + (visitor and fill + text > 0) + (words <= 3 and bool(SAMPLE.search(unit)))
+    if filler - against >= 3 and words <= 14:
+        return "filler"
+    script, place, fault, need = few(SCRIPT), few(PLACE), few(FAULT), bool(NEED.search(unit))
+    grave, checked = 2 * bool(GRAVE.search(unit)), 2 * bool(CHECKED.search(unit))
+    asked = few(ASK)
+    score = visitor + asked + bool(WE.search(unit)) + bool(EXCLAIMED.search(unit)) + bool(NOW.search(unit)) + script + place + fault + grave + checked + need + (lone and words <= 6 and grave > 0) + (words <= 4 and place > 0 and fault > 0)
+    if score - against < 3 or not (script or place or fault or grave or checked):
+        return None
+    if not (visitor or asked or fault or grave or checked or need):
+        return None
+    return "notice" if script or (checked and not fault) else "error"
+
+
+
+#: words of which a unit has at least one to be looked at closer; signs of scripts without spaces are searched as such
+_ANCHORS = frozenset(
+    word + mark
+    for word in "you your yours we our please sorry oops whoops javascript cookie cookies captcha script scripts expired unavailable denied forbidden blocked broken removed timeout maintenance permission requested loading wait shortly mistake wrong error human robot found respond answer "
+    "here sample dummy placeholder untitled replace writing coming construction bitte sie ihr ihrem ihren seite veuillez vous votre ici demandée existe usted aquí favor aqui seu sua conteúdo continuar continuer página lien enlace hier uw tekst qui attiva attivare ativar ative habilite schakel activeer gefunden introuvable пожалуйста включите найдена найден вы ваш ваша здесь страница beispieltext voorbeeldtekst n'existe n’existe you're".split()
+    for mark in ("", ".", ",", ":", ";", "!", "?", "...", "…")
+)
+_SIGNS = re.compile("[请您你]|启用|不存在|未找到|无法|此处|在此|ください|有効に|見つかり|存在しません|表示できません|ここ|يرجى|الرجاء|غير موجود|هنا|कृपया|नहीं मिला|यहाँ|กรุณา|โปรด|ไม่พบ|ที่นี่")
+_FAR = re.compile("[\u0600-\u1fff\u3000-\uffff]")
+_STOPS = re.compile(r"(?<=[.!?。！？।؟…])[\"'”’»)\]]*\s+|(?<=[。！？])")
+_ENDED = re.compile(r"[.!?:。！？।؟…][\"'”’»)\]]*$")
+_QUOTED = re.compile(r"[\"“«「„‘`][^\"”»」’`\n]{6,}[\"”»」’`]")
+
+
+def message_units(text: str):
+    """(sentence or line standing alone, whether it is a whole line) of a text; wrapped lines are joined."""
+    for block in _BLANK.split(text):
+        lines = [x.strip() for x in block.split("\n")]
+        widest, run = max(map(len, lines)), []
+        for i, line in enumerate(lines):
+            run.append(line)
+            if i + 1 < len(lines) and len(line) >= 0.7 * widest and len(lines[i + 1]) > 0 and not _ENDED.search(line) and widest >= 40:
+                continue
+            parts = [p for p in _STOPS.split(" ".join(run)) if p and p.strip()]
+            for part in parts:
+                yield part.strip(), len(parts) == 1
+            run = []
+
+
+def _anchored(text: str) -> bool:
+    return not _ANCHORS.isdisjoint(text.lower().split()) or (not text.isascii() and _FAR.search(text) is not None and _SIGNS.search(text) is not None)
+
+
+def messages(text: str) -> tuple[set[str], int]:
+    """(kinds of messages shown, characters of the units that show them)."""
+    found, size = set(), 0
+    if not _anchored(text):
+        return found, size
+    for unit, lone in message_units(_FENCE.sub("\n\n", text) if "```" in text or "~~~" in text else text):
+        if len(unit) > 400 or not _anchored(unit):
+            continue
+        kind = message(unit, lone)
+        if kind and not (kind == "filler" and GRAMMARS["own_text"].search(unit)):  # that is a placeholder
+            found.add(kind)
+            size += len(unit)
+    return found, size
+
 
 _LATIN = frozenset("lorem ipsum dolor sit amet consectetur adipiscing elit sed do eiusmod tempor incididunt ut labore et dolore magna aliqua enim ad minim veniam quis nostrud exercitation ullamco laboris nisi aliquip ex ea commodo consequat duis aute irure in reprehenderit voluptate velit esse cillum eu fugiat nulla pariatur excepteur sint occaecat cupidatat non proident sunt culpa qui officia deserunt mollit anim id est laborum donec fusce nunc vitae turpis massa orci nibh felis mauris lacus risus erat semper quam porta ligula pretium cursus congue quisque praesent vestibulum curabitur pellentesque".split())
 _LATIN_RARE = _LATIN - frozenset("in do ex ad id est et non esse sit ut sed a".split())
-_LATIN_HINT = re.compile(r"\b(?:ipsum|dolor|amet|nibh|felis|fusce|turpis|mauris|orci|lacus|massa|cursus|donec|nunc|quam|erat|pretium|congue|risus|porta|semper|ligula|vitae|nulla)\b", re.I)
 _SENTENCE = re.compile(r"[.!?]\s+|\n\s*\n")
 
 _FENCE = re.compile(r"```.*?```|~~~.*?~~~", re.S)
@@ -128,55 +216,71 @@ def _weight(text: str, start: int, end: int, fences: list[tuple[int, int]]) -> f
     return weight
 
 
-def placeholders(text: str) -> list[str]:
-    """The grammars of which a match stands."""
+#: part of a match's weight that is lost if all matches of its grammar in the text are only shown, and what must be left
+SHOWN_DISCOUNT, STANDS = 0.5, 0.75
+
+
+def placeholders(text: str) -> tuple[list[str], int]:
+    """(grammars of which a match stands, characters of the matches that stand).
+
+    A text that mostly shows fields of a kind, in code, quotations or a tutorial, is about them: what part of the
+    matches is shown is taken off the weight of each.
+    """
     if not _ANY_FIELD.search(text):
-        return []
+        return [], 0
     fences = [m.span() for m in _FENCE.finditer(text)] if "```" in text or "~~~" in text else []
-    found = []
+    found, size = [], 0
     for name, grammar in GRAMMARS.items():
-        if any(_weight(text, m.start(), m.end(), fences) >= 1 for m in grammar.finditer(text)):
-            found.append(name)
-    return found
-
-
-def is_filler(text: str, starts: list[int]) -> bool:
-    if _starts_with(FILLER, text, starts):
-        return True
-    if len(_LATIN_HINT.findall(text)) >= 4:
+        matches = [(m.end() - m.start(), _weight(text, m.start(), m.end(), fences)) for m in grammar.finditer(text)]
+        if matches:
+            shown = sum(w < 1 for _, w in matches) / len(matches)
+            standing = [n for n, w in matches if w - SHOWN_DISCOUNT * shown >= STANDS]
+            if standing:
+                found.append(name)
+                size += sum(standing)
+    return found, size
+
+
+def latin_filler(text: str) -> int:
+    """Characters of the sentences that consist of the words of the usual Latin filler."""
+    size = 0
+    if len(_LATIN_RARE.intersection(text.lower().split())) >= 2:
         for sentence in _SENTENCE.split(text):
             words = [w.lower() for w in re.findall(r"[^\W\d_]+", sentence)]
             if len(words) >= 5 and sum(w in _LATIN for w in words) >= 0.8 * len(words) and sum(w in _LATIN_RARE for w in words) >= 3:
-                return True
-    return False
+                size += len(sentence)
+    return size
 
 
-def kinds(text: str | None) -> list[str]:
-    """Which of placeholder, filler, error and notice a text shows."""
+def measure(text: str | None) -> tuple[list[str], float]:
+    """(which of placeholder, filler, error and notice a text shows, share of its characters that do)."""
     if not text or not text.strip():
-        return []
-    found = []
-    starts = [m.end() for m in _STARTS.finditer(text)]
-    if placeholders(text):
-        found.append("placeholder")
-    if is_filler(text, starts):
-        found.append("filler")
-    if _starts_with(ERRORS, text, starts):
-        found.append("error")
-    if _starts_with(NOTICES, text, starts):
-        found.append("notice")
-    return found
+        return [], 0.0
+    found, size = messages(text)
+    fields, more = placeholders(text)
+    if fields:
+        found.add("placeholder")
+    if latin := latin_filler(text):
+        found.add("filler")
+    coded = sum(len(m.group()) for at in _STARTS.finditer(text) if (m := CODED.match(text, at.end())))
+    if coded:
+        found.add("error")
+    return [k for k in ("placeholder", "filler", "error", "notice") if k in found], min(1.0, (size + more + latin + coded) / len(text))
+
+
+def kinds(text: str | None) -> list[str]:
+    return measure(text)[0]
 
 
 def residue(texts: DataFrame, key: str = "pdf_id") -> DataFrame:
-    """(key, kinds) of the texts that show any residue."""
+    """(key, kinds, density) of the texts that show any residue."""
 
     def run(it):
         for batch in it:
-            rows = [(k, ",".join(found)) for k, t in zip(strings(batch, key), strings(batch, "text")) if (found := kinds(t))]
-            yield frame([key, "kinds"], list(zip(*rows)) or [[], []], [pa.string(), pa.string()])
+            rows = [(k, ",".join(found), density) for k, t in zip(strings(batch, key), strings(batch, "text")) for found, density in [measure(t)] if found]
+            yield frame([key, "kinds", "density"], list(zip(*rows)) or [[], [], []], [pa.string(), pa.string(), pa.float64()])
 
-    return texts.select(key, "text").mapInArrow(run, f"{key} string, kinds string")
+    return texts.select(key, "text").mapInArrow(run, f"{key} string, kinds string, density double")
 
 
 def _residue(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -189,6 +293,7 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p4_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What the old validation said about the bodies with residue."""
+    """What the old validation said about the bodies with residue, and how much of them is residue."""
     old = read(spark, sf_dir, "validate_out").groupBy("pdf_id").agg(F.min("status").alias("old_status"), F.min("reason").alias("old_reason"))
-    return _residue(spark, sf_dir).join(old, "pdf_id", "left").groupBy("kinds", "old_status", "old_reason").agg(F.count(F.lit(1)).alias("records"))
+    counts = _residue(spark, sf_dir).join(old, "pdf_id", "left").groupBy("kinds", "old_status", "old_reason").agg(F.count(F.lit(1)).alias("records"), F.round(F.avg("density"), 4).alias("mean_density"))
+    return counts

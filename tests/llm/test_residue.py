@@ -1,6 +1,6 @@
 import pytest
 
-from folioflow.llm.residue import kinds, residue
+from folioflow.llm.residue import kinds, measure, residue
 
 ARTICLE = "The council restored the old archive in May. Researchers found the flaw in a second pump."
 
@@ -20,6 +20,32 @@ def test_notices_errors_and_filler(text, kind):
     assert kinds(text) == [kind] and kind in kinds(f"{ARTICLE}\n{text}\n{ARTICLE}")
 
 
+UNSEEN = [
+    ("You will need JavaScript switched on before this content can load.", "notice"), ("Ativar o JavaScript para continuar.", "notice"), ("Scripts are turned off in your browser.", "notice"), ("请启用浏览器脚本后继续访问", "notice"), ("Your browser must accept cookies to view this page.", "notice"),
+    ("HTTP status 503 returned by origin", "error"), ("Seite nicht verfügbar. Bitte später erneut versuchen.", "error"), ("We could not find the page you requested.", "error"), ("Access to this resource is forbidden for your account.", "error"), ("Your connection to the server timed out.", "error"), ("ページが見つかりませんでした", "error"),
+    ("Vul hier uw tekst in", "filler"), ("Insira seu texto aqui.", "filler"), ("Escriba aquí su texto.", "filler"), ("Type your description here.", "filler"),
+]
+
+
+@pytest.mark.parametrize("text,kind", UNSEEN)
+def test_wordings_in_no_list(text, kind):
+    assert kinds(text) == [kind] and kind in kinds(f"{ARTICLE}\n{text}\n{ARTICLE}")
+
+
+@pytest.mark.parametrize("text", ["Researchers said that the page you requested could not be found on any server.", "Visitors were told to enable JavaScript in their browser before they could log in.", "The server of Acme Labs could not be reached in May.", "We use cookies and similar tools to run this site.", "The session expired while the council restored the database, Ada Stone said.", "A second request to the database was blocked by the pump, which kept its own link."])
+def test_reports_are_no_messages(text):
+    assert kinds(f"{ARTICLE} {text} {ARTICLE}") == []
+
+
+def test_mostly_shown_fields_are_not_unfilled():
+    shown = "Write `{{name}}` in the page. The field `{{city}}` is next. Then `{{street}}` follows."
+    assert kinds(f"{ARTICLE} {shown} Here {{{{name}}}} is replaced.") == [] and kinds(f"{ARTICLE} Here {{{{name}}}} is replaced.") == ["placeholder"]
+
+
+def test_density():
+    assert measure("Error 404")[1] > 0.9 and 0 < measure(f"{ARTICLE} Dear {{{{first_name}}}}. " + ARTICLE * 20)[1] < 0.05
+
+
 def test_defined_cases(spark):
     df = spark.createDataFrame([("a", None), ("b", ""), ("c", " "), ("d", "Error 500"), ("d", "Error 500"), ("e", "x" * 200_000), ("f", "{" * 5000)], "pdf_id string, text string")
     assert [r.pdf_id for r in residue(df).distinct().collect()] == ["d"]
