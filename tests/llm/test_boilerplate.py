@@ -77,3 +77,31 @@ def test_long_sentences_have_ballots(spark):
     long = "Notice of " + "many words " * 120 + "ends here."
     docs = [(f"l{i}", "h", "pages", None, [f"{article(i)}\n\n{long}"]) for i in range(8)]
     assert run(spark, docs) == {(f"l{i}", "pages", 1, 3) for i in range(8)}
+
+
+def cleaned(i, extra=()):
+    """A page and the body that cleaning left of it."""
+    own = f"{article(i)}\n\nPart {chr(97 + i) * 4} begins\n\n{article(i + 500)}"
+    return [(f"c{i}", f"h{i % 4}", "pages", None, ["\n\n".join([own, *extra])]), (f"c{i}", f"h{i % 4}", "body", None, [own])]
+
+
+def test_what_cleaning_dropped_votes_whatever_its_wording(spark):
+    # one line a document, with other numbers and names each time, on four hosts: masked it is one path
+    docs = [d for i in range(24) for d in cleaned(i, [f"Come to the Grand{i} Hall in June for talk {i} of the Omega{i} Series."])]
+    got = run(spark, docs)
+    assert got == {(f"c{i}", "pages", 1, 7) for i in range(24)}
+
+
+def test_dropped_headings_of_articles_stay(spark):
+    # cleaning dropped the same short heading from every body; running text follows it
+    docs = []
+    for i in range(24):
+        text = f"{article(i)}\n\nWhat comes next\n\n{article(i + 500)} It went on for {i} days."
+        docs += [(f"c{i}", f"h{i % 4}", "pages", None, [text]), (f"c{i}", f"h{i % 4}", "body", None, [text.replace("What comes next\n\n", "")])]
+    got = {(d, n) for d, _, _, n in run(spark, docs)}
+    assert got <= {(f"c{i}", 3) for i in range(24)} and not any(n in (1, 5) for _, n in got)
+
+
+def test_a_hot_document_counts_once(spark):
+    docs = cleaned(1, ["Alpha Beta Gamma"]) * 30 + [d for i in range(2, 7) for d in cleaned(i)]
+    assert run(spark, docs) == set()
