@@ -6,16 +6,19 @@ import hashlib
 import json
 import os
 from collections.abc import Iterable, Mapping
-from dataclasses import asdict, dataclass, fields, replace
+from dataclasses import dataclass
 from datetime import UTC, datetime
 
 PREFIX = "NLP_"
 _TRUE = {"1", "true", "yes", "on"}
+#: how the text of a variable becomes a value of the default's type
+_PARSERS = {bool: lambda raw, default: raw.strip().lower() in _TRUE if raw else default, int: lambda raw, _: int(raw), str: lambda raw, _: raw}
 
 
 @dataclass(frozen=True)
 class Config:
     max_pages: int = 0
+    max_pdfs: int = 0
     injection_guard: bool = False
     backend: str = "hashing"
     device: str = "cpu"
@@ -34,26 +37,23 @@ class Config:
 
     @classmethod
     def from_env(cls, env: Mapping[str, str] | None = None) -> Config:
-        """Defaults with each NLP_<FIELD> that is set; an empty string keeps a boolean's default."""
-        env = os.environ if env is None else env
-        base, changed = cls(), {}
-        for field in fields(cls):
-            raw = env.get(PREFIX + field.name.upper())
-            if raw is None:
-                continue
-            default = getattr(base, field.name)
-            if isinstance(default, bool):
-                changed[field.name] = raw.strip().lower() in _TRUE if raw else default
-            else:
-                changed[field.name] = type(default)(raw)
-        return replace(base, **changed)
+        """The defaults, and what the environment sets in NLP_<FIELD>; an empty string keeps a boolean's default."""
+        given = {name.removeprefix(PREFIX).lower(): raw for name, raw in (os.environ if env is None else env).items() if name.startswith(PREFIX)}
+        return cls(**{name: _PARSERS[type(default)](given[name], default) for name, default in vars(cls()).items() if name in given})
+
+    def settings(self) -> dict[str, object]:
+        """All settings by their names in the environment, without the prefix."""
+        return {name.upper(): value for name, value in vars(self).items()}
 
     def fingerprint(self, keys: Iterable[str]) -> str:
-        """SHA-256 of the named fields, in canonical JSON; names are those of the environment, in capitals."""
-        return sha256(canonical_json({k: getattr(self, k.lower()) for k in keys}))
+        """SHA-256 over the canonical JSON of the settings named; an unknown name is an error."""
+        mine, wanted = self.settings(), frozenset(keys)
+        if missing := wanted - mine.keys():
+            raise KeyError(f"no such settings: {sorted(missing)}")
+        return sha256(canonical_json({name: value for name, value in mine.items() if name in wanted}))
 
     def snapshot(self) -> str:
-        return canonical_json(asdict(self))
+        return canonical_json(vars(self))
 
 
 #: name -> settings of a run mode, for comparing runs
@@ -82,6 +82,21 @@ def new_run_id(now: datetime | None = None) -> str:
     return (now or datetime.now(UTC)).strftime("%Y-%m-%dT%H-%M-%SZ")
 
 
+def load_tree(path: str) -> dict:
+    """The nested settings of a YAML or JSON file; an empty file has none."""
+    with open(path, encoding="utf-8") as file:
+        text = file.read()
+    if path.endswith(".json"):
+        tree = json.loads(text or "{}")
+    else:
+        import yaml  # only files in YAML need it
+
+        tree = yaml.safe_load(text)
+    if not isinstance(tree or {}, Mapping):
+        raise ValueError(f"{path} holds no mapping")
+    return dict(tree or {})
+
+
 def lookup(tree: Mapping, path: str, default: object = None) -> object:
     """A dotted path into nested mappings; a missing or null value gives the default."""
     at: object = tree

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Callable
+from itertools import accumulate
 
 import pandas as pd
 from pyspark.sql import Column
@@ -12,29 +14,22 @@ from pyspark.sql import functions as F
 def pack(sentences: list[str], budget: int, overlap: float = 0.125, tokenize: Callable[[str], list[str]] = str.split, join: Callable[[list[str]], str] = " ".join) -> list[str]:
     """Windows of whole sentences of at most ``budget`` tokens.
 
-    A window begins as many sentences before the end of the last one as it takes to carry ``overlap``
-    of the budget over, but always at least one sentence further than the last.  A sentence over the
-    budget makes a window of its own, of its first ``budget`` tokens.
+    Over the running totals of tokens, a window's end and the next one's begin are binary searches: it ends at the
+    last total within the budget, and the next begins at the last sentence behind which ``overlap`` of the budget
+    is left, but always at least one sentence further.  A sentence over the budget makes a window of its own, of
+    its first ``budget`` tokens.
     """
-    sizes = [len(tokenize(s)) for s in sentences]
-    carry, out, begin = int(budget * overlap), [], 0
-    while begin < len(sentences):
-        if sizes[begin] > budget:
+    upto = [0, *accumulate(len(tokenize(s)) for s in sentences)]
+    out: list[str] = []
+    begin, end = 0, 0
+    while end < len(sentences):
+        end = bisect_right(upto, upto[begin] + budget) - 1
+        if end > begin:
+            out.append(" ".join(sentences[begin:end]))
+        else:
             end = begin + 1
             out.append(join(tokenize(sentences[begin])[:budget]))
-        else:
-            end, used = begin, 0
-            while end < len(sentences) and used + sizes[end] <= budget:
-                used += sizes[end]
-                end += 1
-            out.append(" ".join(sentences[begin:end]))
-        if end == len(sentences):
-            break
-        resume, carried = end, 0
-        while resume - 1 > begin and carried < carry:
-            resume -= 1
-            carried += sizes[resume]
-        begin = resume
+        begin = max(begin + 1, min(end, bisect_right(upto, upto[end] - int(budget * overlap)) - 1))
     return out
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import graphlib
 from collections.abc import Iterable
 from dataclasses import dataclass
 
@@ -39,12 +40,17 @@ INFERENCE = ("keywords", "classify", "summarize")
 
 def ordered(stages: dict[str, Stage] | None = None) -> list[Stage]:
     """Stages after all they need; of those that are ready together, by name."""
-    left, out = dict(STAGES if stages is None else stages), []
-    while left:
-        ready = sorted(n for n, s in left.items() if not set(s.needs) & set(left))
-        if not ready:
-            raise ValueError(f"stages need each other: {sorted(left)}")
-        out += [left.pop(n) for n in ready]
+    every = STAGES if stages is None else stages
+    graph = graphlib.TopologicalSorter({name: stage.needs for name, stage in every.items()})
+    try:
+        graph.prepare()
+    except graphlib.CycleError as error:
+        raise ValueError(f"stages need each other: {error.args[1]}") from error
+    out: list[Stage] = []
+    while graph.is_active():
+        ready = sorted(graph.get_ready())
+        graph.done(*ready)
+        out.extend(every[name] for name in ready if name in every)
     return out
 
 
