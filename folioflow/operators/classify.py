@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import Config
 from ..functions.text import sentences
-from ..models.backends import label_scores
+from ..models.backends import FACTORIES, Scorer, live, scores
 from .windows import evenly, token_windows
 
 # The label sets.
@@ -38,28 +42,56 @@ def flags(scores, threshold: float = THRESHOLD):
     return F.transform_values(scores, lambda _, v: v >= threshold)
 
 
-def _aggregate(df: DataFrame, key: str, labels: tuple[str, ...], exclusive: bool, config: Config, out: str, backend: str) -> DataFrame:
-    windows = df.select(key, F.explode_outer("windows").alias("_text")).repartition(key)
-    scored = windows.select(key, F.size(F.filter(F.split(F.coalesce("_text", F.lit("")), r"\s+"), lambda x: x != "")).alias("_w"), label_scores(F.col("_text"), labels, config.hypothesis_template, exclusive, backend).alias("_m"))
-    exploded = scored.select(key, "_w", F.explode("_m").alias("_l", "_v"))
-    means = weighted_means(exploded, [key], "_l", "_v", "_w", 1 / len(labels) if exclusive else 0.0)
-    return means.groupBy(key).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("_l", "_v")))).alias(out))
+_ROW = "predicted_label string, confidence double, label_scores map<string,double>, n_windows int, flag_scores map<string,double>, flags map<string,boolean>, sector_scores map<string,double>, sectors array<string>"
+
+
+def _label(documents: list[list[str]], scorer: Scorer, config: Config) -> list[tuple]:
+    """One row of labels for each document's windows; all windows of a batch are scored together."""
+    windows = [w for document in documents for w in document]
+    weights = np.array([len(w.split()) for w in windows], float)
+    begin = np.concatenate([[0], np.cumsum([len(d) for d in documents])]).astype(int)
+
+    def means(labels: tuple[str, ...], exclusive: bool, wanted: list[int]) -> dict[int, list[float]]:
+        """Each document's weighted means; without a word, the even share of labels that exclude each other, else 0."""
+        places = [i for d in wanted for i in range(begin[d], begin[d + 1])]
+        found = np.zeros((len(windows), len(labels)))
+        found[places] = scores(scorer, [windows[i] for i in places], labels, config.hypothesis_template, exclusive)
+        out = {}
+        for d in wanted:
+            own = slice(begin[d], begin[d + 1])
+            total = weights[own].sum()
+            out[d] = (weights[own] @ found[own] / total).tolist() if total else [1 / len(labels) if exclusive else 0.0] * len(labels)
+        return out
+
+    every = list(range(len(documents)))
+    topics = means(TOPICS, True, every)
+    asked = config.taxonomy in ("flags", "both")
+    flagged = means(FLAGS, False, every) if asked else {}
+    fired = [d for d in every if asked and flagged[d][0] >= THRESHOLD]
+    sectors = means(SECTORS, False, fired)  # only where the first flag fired
+    rows = []
+    for d in every:
+        best = max(range(len(TOPICS)), key=lambda k: (topics[d][k], -k))  # of equal ones the first as declared
+        row = (TOPICS[best], topics[d][best], dict(zip(TOPICS, topics[d])), len(documents[d]))
+        row += (dict(zip(FLAGS, flagged[d])), dict(zip(FLAGS, (v >= THRESHOLD for v in flagged[d])))) if asked else (None, None)
+        row += (dict(zip(SECTORS, sectors[d])), [s for s, v in zip(SECTORS, sectors[d]) if v >= THRESHOLD]) if d in sectors else (None, None)
+        rows.append(row)
+    return rows
 
 
 def classify(df: DataFrame, config: Config = Config(), key: str = "pdf_id", body: str = "body", backend: str = "lexical") -> DataFrame:
-    """(key, predicted_label, confidence, label_scores, n_windows, flag_scores, flags, sectors); sectors only where the first flag fired, else null."""
+    """(key, predicted_label, confidence, label_scores, n_windows, flag_scores, flags, sector_scores, sectors); sectors only where the first flag fired, else null.
+
+    One pass where the texts lie: a document's windows are packed, scored and averaged in its own batch, so nothing is shuffled.
+    """
     staged = df.select(key, token_windows(sentences(F.coalesce(F.col(body), F.lit(""))), WINDOW_TOKENS).alias("_all"))
     staged = staged.select(key, evenly(F.col("_all"), config.zeroshot_max_chunks).alias("windows"))
-    topics = _aggregate(staged, key, TOPICS, True, config, "label_scores", backend)
-    entries = F.map_entries("label_scores")
-    place = lambda e: F.array_position(F.array(*map(F.lit, TOPICS)), e["key"])
-    top = F.array_max(F.transform(entries, lambda e: F.struct(e["value"].alias("v"), (-place(e)).alias("p"), e["key"].alias("l"))))
-    out = staged.select(key, F.size("windows").alias("n_windows")).join(topics.withColumn("_top", top), key)
-    out = out.select(key, F.col("_top.l").alias("predicted_label"), F.col("_top.v").alias("confidence"), "label_scores", "n_windows")
-    if config.taxonomy in ("flags", "both"):
-        flagged = _aggregate(staged, key, FLAGS, False, config, "flag_scores", backend).withColumn("flags", flags(F.col("flag_scores")))
-        fired = flagged.where(F.col("flags")[FLAGS[0]]).select(key)
-        sectors = _aggregate(staged.join(fired, key, "left_semi"), key, SECTORS, False, config, "sector_scores", backend)
-        sectors = sectors.withColumn("sectors", F.filter(F.array(*map(F.lit, SECTORS)), lambda s: F.col("sector_scores")[s] >= THRESHOLD))
-        out = out.join(flagged, key, "left").join(sectors, key, "left")
-    return out
+    factory, columns = FACTORIES[backend], [name.split()[0] for name in _ROW.split(", ")]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        scorer = live(backend, factory)
+        for batch in batches:
+            rows = _label([list(w) for w in batch["windows"]], scorer, config)
+            yield pd.concat([batch[[key]].reset_index(drop=True), pd.DataFrame(rows, columns=columns, dtype=object)], axis=1)
+
+    return staged.mapInPandas(run, f"{key} {staged.schema[key].dataType.simpleString()}, {_ROW}")
