@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -10,7 +12,7 @@ from ..functions.text import SPACE, basename, safe_filename
 from ..operators.admission import label_set
 from ..plans import artifacts, compare, metrics, registry
 from ..plans import report as reports
-from ..sources.tables import table, upsert
+from ..sources.tables import patch, table, upsert
 from .base import query
 
 KEY = ["pdf_id", "run_id"]
@@ -124,7 +126,11 @@ def timing_keys(spark, d):
     return table(spark, d, "stage_metrics").select("pdf_id", "stage").union(table(spark, d, "validate_out").select("pdf_id", F.lit("validate").alias("stage"))).distinct()
 
 
-@query(registry.closure_sql())
+@query("""
+WITH RECURSIVE later(stage, affected) AS (
+  SELECT * FROM (VALUES ('extract', 'clean'), ('clean', 'validate'), ('clean', 'context'), ('validate', 'keywords'), ('keywords', 'classify'), ('keywords', 'context'), ('context', 'summarize')) AS v(stage, affected)
+  UNION SELECT l.stage, v.affected FROM later l JOIN (VALUES ('clean', 'validate'), ('clean', 'context'), ('validate', 'keywords'), ('keywords', 'classify'), ('keywords', 'context'), ('context', 'summarize')) AS v(stage, affected) ON v.stage = l.affected)
+SELECT stage, affected FROM later UNION SELECT unnest(['extract', 'clean', 'validate', 'keywords', 'classify', 'context', 'summarize']) AS stage, stage AS affected""")
 def stage_closure(spark, d):
     """ST4, OR1-OR2: what each stage affects."""
     return registry.closure(spark)
@@ -139,16 +145,30 @@ def stage_prefix(spark, d):
     return stage_rows(spark, d).where(F.col("stage").isin(_PREFIX)).groupBy("stage").agg(F.count(F.lit(1)).alias("rows"))
 
 
+#: the stages as the check knows them: name, what it needs, its settings in canonical JSON, the files whose source decides
+_STAGES = (
+    ("extract", (), '{"MAX_PAGES": 0}', ("sources/corpus",)),
+    ("clean", ("extract",), "{}", ("operators/clean", "functions/text")),
+    ("validate", ("clean",), '{"MIN_CHARS": 0, "MIN_WORDS": 120}', ("operators/validate", "functions/text")),
+    ("keywords", ("validate",), '{"BACKEND": "hashing", "DEVICE": "cpu", "DTYPE": "fp32"}', ("operators/keywords", "functions/text", "models/backends")),
+    ("classify", ("keywords",), '{"BACKEND": "hashing", "DEVICE": "cpu", "DTYPE": "fp32", "HYPOTHESIS_TEMPLATE": "This example is {}.", "TAXONOMY": "both", "ZEROSHOT_MAX_CHUNKS": 3}', ("operators/classify", "operators/windows", "models/backends")),
+    ("context", ("keywords", "clean"), '{"REDUCED_CONTEXT_CHARS": 2000}', ("operators/context", "functions/text")),
+    ("summarize", ("context",), '{"DEVICE": "cpu", "INJECTION_GUARD": false, "REDUCED_CONTEXT_CHARS": 2000, "SUMMARY_MAX_NEW_TOKENS": 64}', ("operators/summarize", "models/backends")),
+)
+
+
 def _fingerprint_sql() -> str:
-    config, parts, unions = Config(), ["SELECT DISTINCT pdf_id, sha256 AS s FROM source_docs"], []
-    step = "b0"
-    ctes = [f"b0 AS ({parts[0]})"]
-    for i, stage in enumerate(registry.ordered(), 1):
-        upstream = f"list_sort([{', '.join('id_' + n for n in stage.needs)}])" if stage.needs else "[]"
-        ctes.append(f"a{i} AS (SELECT *, sha256(array_to_string(list_concat([s], {upstream}), '|')) AS in_{stage.name} FROM {step})")
-        ctes.append(f"b{i} AS (SELECT *, sha256(in_{stage.name} || '|{config.fingerprint(stage.config_keys)}|{stage.code_fingerprint()}') AS id_{stage.name} FROM a{i})")
+    """The fingerprints by DuckDB alone: it reads the files, and hashes what the stages are known to depend on."""
+    root, step, unions = Path(__file__).resolve().parents[1], "b0", []
+    ctes = ["b0 AS (SELECT DISTINCT pdf_id, sha256 AS s FROM source_docs)"]
+    for i, (name, needs, settings, files) in enumerate(_STAGES, 1):
+        upstream = f"list_sort([{', '.join('id_' + n for n in needs)}])" if needs else "[]"
+        sources = " || chr(0) || ".join(f"(SELECT content FROM read_text('{root}/{f}.py'))" for f in files)
+        ctes.append(f"c{i} AS (SELECT sha256('{settings}') AS cfg_{name}, sha256('1' || chr(0) || {sources}) AS code_{name})")
+        ctes.append(f"a{i} AS (SELECT *, sha256(array_to_string(list_concat([s], {upstream}), '|')) AS in_{name} FROM {step} CROSS JOIN c{i})")
+        ctes.append(f"b{i} AS (SELECT *, sha256(in_{name} || '|' || cfg_{name} || '|' || code_{name}) AS id_{name} FROM a{i})")
         step = f"b{i}"
-        unions.append(f"SELECT pdf_id, '{stage.name}' AS stage, in_{stage.name} AS input_fingerprint, '{config.fingerprint(stage.config_keys)}' AS config_fingerprint, '{stage.code_fingerprint()}' AS code_fingerprint, id_{stage.name} AS identity FROM {{last}}")
+        unions.append(f"SELECT pdf_id, '{name}' AS stage, in_{name} AS input_fingerprint, cfg_{name} AS config_fingerprint, code_{name} AS code_fingerprint, id_{name} AS identity FROM {{last}}")
     return "WITH " + ", ".join(ctes) + " " + " UNION ALL ".join(u.format(last=step) for u in unions)
 
 
@@ -158,6 +178,17 @@ def stage_fingerprints(spark, d):
     return artifacts.fingerprints(table(spark, d, "source_docs").select("pdf_id", "sha256").distinct())
 
 
+@query(f"""
+WITH m AS (SELECT pdf_id, stage, round_even(median(wall_time_sec)::DECIMAL(20, 6), 4)::DOUBLE AS wall_time_sec FROM (SELECT DISTINCT * FROM stage_metrics) GROUP BY pdf_id, stage HAVING count(DISTINCT run_id) > 1)
+SELECT r.* REPLACE (CASE WHEN m.pdf_id IS NOT NULL THEN m.wall_time_sec ELSE r.wall_time_sec END AS wall_time_sec) FROM ({_STAGE_ROWS}) r LEFT JOIN m USING (pdf_id, stage)""")
+def timing_patch(spark, d):
+    """SNK4: stage rows whose time is replaced by the median where a stage was measured in several runs; the other fields and rows stay."""
+    measured = table(spark, d, "stage_metrics").distinct()
+    several = measured.groupBy("pdf_id", "stage").agg(F.count_distinct("run_id").alias("runs")).where("runs > 1")
+    medians = artifacts.median_timings(measured, ["pdf_id", "stage"]).join(several, ["pdf_id", "stage"], "left_semi")
+    return patch(stage_rows(spark, d), medians, ["pdf_id", "stage"], ["wall_time_sec"])
+
+
 @query(f"""
 WITH w AS (SELECT DISTINCT s.pdf_id, n.stage FROM source_docs s CROSS JOIN (SELECT unnest([{', '.join(repr(s.name) for s in registry.ordered())}]) AS stage) n),
 x AS (SELECT DISTINCT pdf_id, stage FROM ({_STAGE_ROWS}) WHERE status NOT IN ('error', 'oom'))
@@ -176,7 +207,7 @@ WITH v AS (SELECT pdf_id, arg_max(status, (created_at, status)) AS status FROM v
 o AS (SELECT DISTINCT pdf_id, source_path, page_count, status FROM source_docs)
 SELECT o.pdf_id, o.source_path, o.page_count, coalesce(v.status, o.status) AS status FROM o LEFT JOIN v USING (pdf_id)""")
 def index_upsert(spark, d):
-    """SNK3, SNK4: the index after the last verdicts were put into it."""
+    """SNK3: the index after the last verdicts were put into it."""
     old = table(spark, d, "source_docs").select("pdf_id", "source_path", "page_count", "status").distinct()
     verdicts = table(spark, d, "validate_out").groupBy("pdf_id").agg(F.max(F.struct("created_at", "status"))["status"].alias("new"))
     new = old.join(verdicts, "pdf_id").select("pdf_id", "source_path", "page_count", F.col("new").alias("status"))

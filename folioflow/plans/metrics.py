@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import basename
 from ..operators.clean import raw_sizes, reduction
+from ..sources.shared import written
+from ..sources.tables import table, write_csv, write_json
 from .artifacts import latest
+from .harness import environment
 from .registry import INFERENCE
 
 STAGE_FIELDS = ("pdf_id", "run_id", "stage", "status", "device", "dtype", "batch_size", "wall_time_sec", "compute_time_sec", "transfer_time_sec", "tokens_in", "tokens_out", "peak_ram_mb", "peak_vram_mb")
@@ -56,3 +59,21 @@ def run_totals(documents: DataFrame) -> DataFrame:
         F.bround(F.sum("inference_time_sec"), 2).alias("inference_time_sec"),
         F.count_if("rejected").alias("rejected"),
     )
+
+
+def export(spark: SparkSession, folder: str, target: str) -> dict:
+    """Stage and document rows as CSV and the runs' totals as JSON; each device that measured anything has a copy of its own."""
+    t = lambda name: table(spark, folder, name)
+    stages = written(stage_rows(t("stage_metrics")))
+    documents = written(document_rows(t("source_docs"), t("extract_out"), t("clean_out"), t("validate_out"), t("summarize_out"), t("stage_metrics")))
+    devices = [r.device for r in stages.select("device").where("device IS NOT NULL").distinct().orderBy("device").collect()]  # a handful
+    totals = {}
+    for device in [None, *devices]:
+        at = target if device is None else f"{target}/{device}"
+        mine = stages if device is None else stages.where(F.col("device") == device)
+        own = documents if device is None else documents.join(mine.select(*KEY).distinct(), KEY, "left_semi")
+        write_csv(mine.orderBy(*KEY, "stage"), f"{at}/stages")
+        write_csv(own.orderBy(*KEY), f"{at}/documents")
+        totals[device or "all"] = [r.asDict() for r in run_totals(own).orderBy("run_id").collect()]  # one row a run
+        write_json(spark, {"runs": totals[device or "all"], "environment": environment(spark)}, f"{at}/metrics.json")
+    return totals

@@ -2,37 +2,56 @@
 
 from __future__ import annotations
 
+import functools
 import graphlib
+import importlib.util
 from collections.abc import Iterable
 from dataclasses import dataclass
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 from ..config import sha256
 
 
+@functools.lru_cache
+def source_of(module: str) -> str:
+    """The source text of a module of this package, or of a file."""
+    if module.endswith(".py"):
+        return Path(module).read_text(encoding="utf-8")
+    found = importlib.util.find_spec(module)
+    return found.loader.get_source(module)
+
+
 @dataclass(frozen=True)
 class Stage:
     name: str
     version: str
     needs: tuple[str, ...] = ()
     config_keys: tuple[str, ...] = ()
+    #: the modules whose source decides what the stage computes
+    modules: tuple[str, ...] = ()
+
+    def code_fingerprint(self) -> str:
+        """Of the stage's version and the source of its modules: an edited stage is computed anew."""
+        return sha256("\x00".join([self.version, *map(source_of, self.modules)]))
+
 
-    def code_fingerprint(self, source: str = "") -> str:
-        return sha256(f"{self.version}:{source}")
+def _of(*names: str) -> tuple[str, ...]:
+    return tuple(f"folioflow.{n}" for n in names)
 
 
 _MODEL = ("BACKEND", "DEVICE", "DTYPE")
 STAGES = {
     s.name: s
     for s in (
-        Stage("extract", "1", (), ("MAX_PAGES",)),
-        Stage("clean", "1", ("extract",)),
-        Stage("validate", "1", ("clean",), ("MIN_WORDS", "MIN_CHARS")),
-        Stage("keywords", "1", ("validate",), _MODEL),
-        Stage("classify", "1", ("keywords",), (*_MODEL, "ZEROSHOT_MAX_CHUNKS", "HYPOTHESIS_TEMPLATE", "TAXONOMY")),
-        Stage("context", "1", ("keywords", "clean"), ("REDUCED_CONTEXT_CHARS",)),
-        Stage("summarize", "1", ("context",), ("SUMMARY_MAX_NEW_TOKENS", "REDUCED_CONTEXT_CHARS", "INJECTION_GUARD", "DEVICE")),
+        Stage("extract", "1", (), ("MAX_PAGES",), _of("sources.corpus")),
+        Stage("clean", "1", ("extract",), (), _of("operators.clean", "functions.text")),
+        Stage("validate", "1", ("clean",), ("MIN_WORDS", "MIN_CHARS"), _of("operators.validate", "functions.text")),
+        Stage("keywords", "1", ("validate",), _MODEL, _of("operators.keywords", "functions.text", "models.backends")),
+        Stage("classify", "1", ("keywords",), (*_MODEL, "ZEROSHOT_MAX_CHUNKS", "HYPOTHESIS_TEMPLATE", "TAXONOMY"), _of("operators.classify", "operators.windows", "models.backends")),
+        Stage("context", "1", ("keywords", "clean"), ("REDUCED_CONTEXT_CHARS",), _of("operators.context", "functions.text")),
+        Stage("summarize", "1", ("context",), ("SUMMARY_MAX_NEW_TOKENS", "REDUCED_CONTEXT_CHARS", "INJECTION_GUARD", "DEVICE"), _of("operators.summarize", "models.backends")),
     )
 }
 INFERENCE = ("keywords", "classify", "summarize")

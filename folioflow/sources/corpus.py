@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
 import zlib
 from collections.abc import Callable, Iterator
@@ -24,6 +25,38 @@ def scan(spark: SparkSession, path: str, pattern: str = "*.pdf") -> DataFrame:
     return files.select(content_id(F.col("content")).alias("doc_id"), "path", F.sha2("content", 256).alias("sha256"), F.col("length").alias("bytes"), "content")
 
 
+def listing(spark: SparkSession, path: str, pattern: str = "*.pdf") -> DataFrame:
+    """(path, bytes, modified) of the files of a folder; nothing of their content is read."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", "true").load(path)
+    return files.select("path", F.col("length").alias("bytes"), F.col("modificationTime").alias("modified"))
+
+
+def read_file(path: str) -> bytes:
+    """A file's content, by the path that Spark gives it."""
+    from pyarrow import fs
+
+    scheme, _, rest = path.partition(":")
+    if not rest or scheme == "file":
+        files, name = fs.LocalFileSystem(), "/" + (rest or path).lstrip("/")
+    else:
+        host, _, name = rest.removeprefix("//").partition("/")
+        files, base = fs.FileSystem.from_uri(f"{scheme}://{host}")
+        name = f"{base.rstrip('/')}/{name}" if base else f"/{name}"
+    with files.open_input_stream(name) as stream:
+        return stream.read()
+
+
+def hashed(files: DataFrame) -> DataFrame:
+    """(doc_id, path, sha256, bytes, modified): each file is read once, where its row lies, and only its hash leaves."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            digests = [hashlib.sha256(read_file(p)).hexdigest() for p in batch["path"]]
+            yield pd.DataFrame({"doc_id": [d[:16] for d in digests], "path": batch["path"], "sha256": digests, "bytes": batch["bytes"], "modified": batch["modified"]})
+
+    return files.select("path", "bytes", "modified").mapInPandas(run, "doc_id string, path string, sha256 string, bytes bigint, modified timestamp")
+
+
 def select_documents(df: DataFrame, wanted: str, key: str = "doc_id", path: str = "path") -> DataFrame:
     """Documents whose id starts with, or whose file name holds, the wanted text."""
     from ..functions.text import basename
@@ -84,16 +117,18 @@ def pdf_pages(content: bytes, most: int = 0) -> tuple[int, list[str]]:
 def extract(df: DataFrame, max_pages: int = 0, parser: Callable[[bytes, int], tuple[int, list[str]]] = pdf_pages, key: str = "doc_id") -> DataFrame:
     """(key, pages_total, pages_read, pages, status, error); a document that can't be parsed has status error and null pages.
 
-    The page limit goes to the parser, so pages beyond it aren't parsed; the content goes no further than here.
+    The page limit goes to the parser, so pages beyond it aren't parsed; the content goes no further than here.  Rows
+    without a column ``content`` are read by their ``path``, one file at a time.
     """
+    column = "content" if "content" in df.columns else "path"
     schema = f"{key} string, pages_total int, pages_read int, pages array<string>, status string, error string"
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
-            for doc, content in zip(batch[key], batch["content"]):
+            for doc, content in zip(batch[key], batch[column]):
                 try:
-                    total, pages = parser(bytes(content), max_pages)
+                    total, pages = parser(read_file(content) if isinstance(content, str) else bytes(content), max_pages)
                     rows.append((doc, total, len(pages), pages, "ok", None))
                 except MemoryError as e:
                     rows.append((doc, None, None, None, "oom", str(e)))
@@ -101,4 +136,4 @@ def extract(df: DataFrame, max_pages: int = 0, parser: Callable[[bytes, int], tu
                     rows.append((doc, None, None, None, "error", f"{type(e).__name__}: {e}"))
             yield pd.DataFrame(rows, columns=[key, "pages_total", "pages_read", "pages", "status", "error"])
 
-    return df.select(key, "content").mapInPandas(run, schema)
+    return df.select(key, column).mapInPandas(run, schema)

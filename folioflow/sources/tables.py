@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import json
-from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,11 +35,6 @@ def patch(old: DataFrame, new: DataFrame, keys: list[str], columns: list[str]) -
     return joined.select(*(F.when(F.col("_there"), F.col(f"_{c}")).otherwise(F.col(c)).alias(c) if c in columns else F.col(c) for c in old.columns))
 
 
-def write_partitioned(df: DataFrame, path: str, by: str = "stage") -> None:
-    """Replaces only the partitions that the frame has rows of."""
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by).parquet(path)
-
-
 def flat(df: DataFrame) -> DataFrame:
     """Arrays, maps and structs as JSON text, for CSV."""
     nested = {f.name for f in df.schema.fields if isinstance(f.dataType, ArrayType | MapType | StructType)}
@@ -51,13 +45,41 @@ def write_csv(df: DataFrame, path: str) -> None:
     flat(df).write.mode("overwrite").csv(path, header=True)
 
 
-def quarantine(df: DataFrame, flag: str, path: str) -> None:
-    """Appends the flagged rows as JSON lines."""
-    df.where(F.col(flag)).write.mode("append").json(path)
+def quarantine(df: DataFrame, flag: str, path: str, raw: str | None = None, name: str = "doc_id") -> None:
+    """Appends the flagged rows as JSON lines to a manifest; their raw text, if any, goes to side files of one row each, by safe names."""
+    from ..functions.text import safe_filename
+
+    bad = df.where(F.col(flag))
+    bad.write.mode("append").json(f"{path}/manifest")
+    if raw:
+        named = bad.select(safe_filename(F.col(name).cast("string")).alias("name"), F.coalesce(F.col(raw), F.lit("")).alias("value"))
+        named.write.mode("append").partitionBy("name").text(f"{path}/raw")
+
+
+def _file_system(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(str(path))
+    return target, target.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
-def write_json(value: object, path: str | Path) -> Path:
-    path = Path(path)
-    path.parent.mkdir(parents=True, exist_ok=True)
-    path.write_text(json.dumps(value, indent=2, sort_keys=True, default=str))
-    return path
+def exists(spark: SparkSession, path: str) -> bool:
+    target, files = _file_system(spark, path)
+    return files.exists(target)
+
+
+def replace(spark: SparkSession, fresh: str, path: str) -> None:
+    """Puts a written folder in another's place."""
+    source, files = _file_system(spark, fresh)
+    target, _ = _file_system(spark, path)
+    files.delete(target, True)
+    files.rename(source, target)
+
+
+def write_json(spark: SparkSession, value: object, path: str) -> str:
+    """One JSON document, through Spark's file system, so that a store's URL may be any that Spark reads."""
+    target, files = _file_system(spark, path)
+    out = files.create(target, True)
+    try:
+        out.write(bytearray(json.dumps(value, indent=2, sort_keys=True, default=str).encode()))
+    finally:
+        out.close()
+    return str(path)
