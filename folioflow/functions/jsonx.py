@@ -2,10 +2,18 @@
 
 from __future__ import annotations
 
+import json
+import re
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .text import split_sectors, strip
+from .text import STIX_TYPES, split_sectors, strip
+
+# The fields of the labels' object with the label each stands for, and the keys of a line of labels.
+LABEL_FIELDS = (("Text is CII", "cii"), ("Text is standards", "standards"), ("Text is Technology", "technology"))
+SHIFTED_KEYS = ("text is cii", "text is standards", "text is technology", "involved sector(s)")
 
 
 def clean_json(c: Column) -> Column:
@@ -27,39 +35,93 @@ def labels_from_json(c: Column) -> Column:
 
 def labels_of(obj: Column) -> Column:
     field = lambda name: strip(F.coalesce(F.try_element_at(obj, F.lit(name)), F.lit("")))
-    flags = F.array(*(F.when(field(name) == "1", F.lit(label)) for name, label in (("Text is CII", "cii"), ("Text is standards", "standards"), ("Text is Technology", "technology"))))
+    flags = F.array(*(F.when(field(name) == "1", F.lit(label)) for name, label in LABEL_FIELDS))
     return F.concat(F.filter(flags, lambda x: x.isNotNull()), split_sectors(field("Involved Sector(s)")))
 
 
 def is_shifted_labels(c: Column) -> Column:
     """Whether a line that should hold a description holds the labels' JSON."""
     low = F.lower(strip(F.coalesce(c, F.lit(""))))
-    keys = ("text is cii", "text is standards", "text is technology", "involved sector(s)")
-    return F.contains(low, F.lit("{")) & F.contains(low, F.lit("reasoning")) & F.greatest(*(F.contains(low, F.lit(k)) for k in keys))
+    return F.contains(low, F.lit("{")) & F.contains(low, F.lit("reasoning")) & F.greatest(*(F.contains(low, F.lit(k)) for k in SHIFTED_KEYS))
+
+
+#: the canonical types, the longest first, equally long ones as declared
+_CANONICAL = sorted(dict.fromkeys(STIX_TYPES.values()), key=len, reverse=True)
+_WIDEST = re.compile(r"\{.*\}", re.S)
+_STATUS = re.compile(r"INJECTION_STATUS:\s*(CLEAR|INJECTION_DETECTED)")
+_SECTORS = re.compile(r"[,;/]")
+
+
+def read_object(text: str) -> dict:
+    """The widest {...} of a text as an object, by the rules of ``clean_json``; empty where nothing parses."""
+    found = _WIDEST.search(text)
+    if not found:
+        return {}
+    try:
+        value = json.loads(found[0].replace(",}", "}").replace(",]", "]"))
+    except ValueError:
+        return {}
+    return value if isinstance(value, dict) else {}
+
+
+def _field(obj: dict, name: str) -> str:
+    value = obj.get(name)
+    return "" if value is None else value.strip() if isinstance(value, str) else json.dumps(value)
+
+
+def read_labels(obj: dict) -> list[str]:
+    """As ``labels_of``."""
+    flags = [label for name, label in LABEL_FIELDS if _field(obj, name) == "1"]
+    sectors = _SECTORS.split(_field(obj, "Involved Sector(s)").replace(" and ", ","))
+    return flags + [x for s in sectors if (x := s.strip().lower())]
+
+
+def _shifted(line: str) -> bool:
+    low = line.lower()
+    return "{" in low and "reasoning" in low and any(k in low for k in SHIFTED_KEYS)
+
+
+def read_type(text: str) -> str:
+    """As ``stix_type``."""
+    key = text.strip().lower()
+    slug = key.replace(" ", "-")
+    return STIX_TYPES.get(key) or next((t for t in _CANONICAL if t in slug), slug)
+
+
+def read_name(text: str) -> str:
+    """As ``without_prefix``."""
+    text = text.strip()
+    return text.partition(":")[2].strip() or text
+
+
+def read_reply(reply: str | None) -> tuple[bool, str, str, str, list[str]]:
+    """(injection_detected, summary, type, name, labels) of a model's reply, in either of two layouts."""
+    lines = [x for raw in (reply or "").split("\n") if (x := raw.strip())]
+    status = None
+    if lines:
+        first = lines[0].upper()
+        known = _STATUS.fullmatch(first)
+        status = known[1] == "INJECTION_DETECTED" if known else True if first == "INJECTION_DETECTED" else None
+    if status is not None:
+        lines = lines[1:]
+    at = lambda i: lines[i] if i < len(lines) else ""
+    obj = read_object("\n".join(lines[1:]))
+    if obj:
+        kind, name, labels = _field(obj, "stix"), _field(obj, "title"), obj.get("labels")
+        labels = labels if isinstance(labels, dict) else read_object(_field(obj, "labels"))
+    else:
+        kind, name = at(1), at(2)
+        labels = read_object("\n".join(lines[3 if _shifted(at(3)) else 4 :]))
+    return bool(status), at(0), read_type(kind), read_name(name), read_labels(labels)
 
 
 def parse_replies(df: DataFrame, reply: str) -> DataFrame:
-    """Adds injection_detected, summary, stix_type, name and labels of a model's reply, in either of two layouts.
-
-    Staged as columns, so that each part is computed once.
-    """
-    from .text import injection_status, stix_type, without_prefix
-
-    line = lambda i: F.coalesce(F.try_element_at("_lines", F.lit(i)), F.lit(""))
-    rest = lambda i: F.array_join(F.slice("_lines", i, 1_000_000), "\n")
-    inner = lambda name: strip(F.coalesce(F.try_element_at("_obj", F.lit(name)), F.lit("")))
-    staged = df.withColumn("_all", F.filter(F.transform(F.split(F.coalesce(F.col(reply), F.lit("")), "\n"), strip), lambda x: x != ""))
-    staged = staged.withColumn("_status", injection_status(F.coalesce(F.try_element_at("_all", F.lit(1)), F.lit(""))))
-    staged = staged.withColumn("_lines", F.when(F.col("_status").isNotNull(), F.slice("_all", 2, 1_000_000)).otherwise(F.col("_all")))
-    staged = staged.withColumn("_json", rest(2)).withColumn("_obj", json_object(F.col("_json"))).withColumn("_is", F.size("_obj") > 0)
-    staged = staged.withColumn("_type", F.when(F.col("_is"), inner("stix")).otherwise(line(2))).withColumn("_name", F.when(F.col("_is"), inner("title")).otherwise(line(3)))
-    staged = staged.withColumn("_labels", F.when(F.col("_is"), inner("labels")).when(is_shifted_labels(line(4)), rest(4)).otherwise(rest(5)))
-    staged = staged.withColumn("_labels", json_object(F.col("_labels")))
-    return (
-        staged.withColumn("injection_detected", F.coalesce("_status", F.lit(False)))
-        .withColumn("summary", line(1))
-        .withColumn("stix_type", stix_type(F.col("_type")))
-        .withColumn("name", without_prefix(F.col("_name")))
-        .withColumn("labels", labels_of(F.col("_labels")))
-        .drop("_all", "_status", "_lines", "_json", "_obj", "_is", "_type", "_name", "_labels")
-    )
+    """Adds injection_detected, summary, stix_type, name and labels of a model's reply; each reply is read once, in an Arrow batch."""
+    columns = ["injection_detected", "summary", "stix_type", "name", "labels"]
+
+    @F.pandas_udf("injection_detected boolean, summary string, stix_type string, name string, labels array<string>")
+    def read(batch: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([read_reply(r) for r in batch], columns=columns)
+
+    staged = df.withColumn("_r", read(F.col(reply)))
+    return staged.select(*(c for c in df.columns if c not in columns), *(f"_r.{c}" for c in columns))

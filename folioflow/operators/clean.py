@@ -69,7 +69,7 @@ def clean(df: DataFrame, pages: str = "pages", title_after_scoring: bool = False
         staged = staged.withColumn("_blocks", F.filter("_blocks", lambda b: F.size(present(b, BOILERPLATE)) == 0))
     first = F.try_element_at("_blocks", F.lit(1))
     staged = staged.withColumn("title", F.when(is_title(first), first))
-    rest = F.when(F.col("title").isNotNull(), F.slice("_blocks", 2, 1_000_000)).otherwise(F.col("_blocks"))
+    rest = F.when(F.col("title").isNotNull(), F.slice("_blocks", 2, F.greatest(F.size("_blocks"), F.lit(1)))).otherwise(F.col("_blocks"))
     staged = staged.withColumn("_body", F.filter(rest, lambda b: block_score(b) >= BODY_SCORE))
     return staged.withColumn("body", F.array_join("_body", "\n\n")).withColumn("block_count", F.when(F.col("_body").isNotNull(), F.size("_body"))).drop("_blocks", "_body")
 

@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+from collections import Counter
+
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import ngram_rows
+from ..functions.text import STOP_WORDS, ngram_rows, segments
 from ..functions.vectors import dot
 from ..models.backends import encoded
 
 TOP = 5
+_STOPPED = frozenset(STOP_WORDS)
 
 
 def keyphrases(df: DataFrame, key: str = "pdf_id", body: str = "body", longest: int = 3, top: int = TOP, backend: str = "hashing") -> DataFrame:
@@ -27,7 +31,28 @@ def keyphrases(df: DataFrame, key: str = "pdf_id", body: str = "body", longest:
     return texts.select(key).join(packed, key, "left").withColumn("keywords", F.coalesce("keywords", none))
 
 
+def _most_frequent(segments: list, longest: int, top: int) -> list[tuple[str, int]]:
+    counts: Counter = Counter()
+    for segment in segments:
+        words = [w for w in segment if w not in _STOPPED]
+        counts.update(words)
+        for n in range(2, longest + 1):
+            counts.update(map(" ".join, zip(*(words[i:] for i in range(n)))))
+    if len(counts) > top:
+        least = sorted(counts.values())[-top]
+        counts = {term: n for term, n in counts.items() if n >= least}
+    return sorted(counts.items(), key=lambda x: (-x[1], x[0]))[:top]
+
+
 def top_terms(df: DataFrame, key: str = "pdf_id", body: str = "body", longest: int = 3, top: int = TOP) -> DataFrame:
-    """(key, rank, term, n): the most frequent n-grams of each text; ties go by the term."""
-    counts = ngram_rows(df, key, body, longest).groupBy(key, "term").agg(F.count(F.lit(1)).alias("n"))
-    return counts.withColumn("rank", F.row_number().over(Window.partitionBy(key).orderBy(F.desc("n"), "term"))).where(F.col("rank") <= top)
+    """(key, rank, term, n): the most frequent n-grams of each text; ties go by the term.
+
+    A text's own row holds all that is counted, so its n-grams are counted where it lies and nothing is shuffled.
+    """
+
+    @F.pandas_udf("array<struct<term:string,n:bigint>>")
+    def count(batch: pd.Series) -> pd.Series:
+        return pd.Series([_most_frequent(s, longest, top) for s in batch])
+
+    words = F.transform(segments(F.coalesce(F.col(body), F.lit(""))), lambda s: F.regexp_extract_all(F.lower(s), F.lit(r"([\p{L}\p{N}_]{2,})"), F.lit(1)))
+    return df.select(key, F.posexplode(count(words)).alias("_i", "_t")).select(key, (F.col("_i") + 1).alias("rank"), "_t.term", "_t.n")

@@ -11,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..config import Config
 from ..operators.validate import validate
+from ..sources.tables import exists, write_json
 
 
 _JUDGED = ["pdf_id", "run_id", "created_at", "body_hash"]
@@ -46,18 +47,38 @@ def _written(spark: SparkSession, target: str) -> DataFrame | None:
     return spark.read.parquet(target).select(*_JUDGED)
 
 
-def stage_latency_stream(spark: SparkSession, source: str, checkpoint: str, schema, name: str = "stage_latency") -> StreamingQuery:
-    """Rows, failures and mean time of each stage in hourly windows, late rows accepted for two days."""
-    rows = spark.readStream.schema(schema).parquet(source).withWatermark("created_at", "2 days")
-    sums = rows.groupBy(F.window("created_at", "1 hour"), "stage").agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col("status") != "ok").alias("failed"), F.avg("wall_time_sec").alias("mean_sec"))
-    return sums.writeStream.format("memory").queryName(name).option("checkpointLocation", checkpoint).outputMode("complete").trigger(availableNow=True).start()
+def stage_latency_stream(spark: SparkSession, source: str, checkpoint: str, schema, name: str = "stage_latency", target: str | None = None) -> StreamingQuery:
+    """Rows, failures and mean time of each stage by hour, as the view ``name``.  Keeps, for each micro-batch, the counts and sums of its rows by hour and stage, in a folder of the batch's number.
+
+    Sums of sums need no state, so no row is too late; a batch that is replayed overwrites its own folder.
+    ``stage_latency`` puts the batches together.
+    """
+    target = target or f"{checkpoint}-sums"
+
+    def run(batch: DataFrame, number: int) -> None:
+        by = [F.date_trunc("hour", "created_at").alias("hour"), "stage"]
+        sums = batch.groupBy(*by).agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col("status") != "ok").alias("failed"), F.count("wall_time_sec").alias("timed"), F.sum("wall_time_sec").alias("seconds"))
+        sums.write.mode("overwrite").parquet(f"{target}/batch={number}")
+        stage_latency(spark, target).createOrReplaceTempView(name)
+
+    rows = spark.readStream.schema(schema).parquet(source)
+    return rows.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def stage_latency(spark: SparkSession, target: str) -> DataFrame:
+    """(hour, stage, rows, failed, mean_sec) over all micro-batches so far."""
+    sums = spark.read.parquet(target).groupBy("hour", "stage").agg(*(F.sum(c).alias(c) for c in ("rows", "failed", "timed", "seconds")))
+    return sums.select("hour", "stage", "rows", "failed", (F.col("seconds") / F.nullif("timed", F.lit(0))).alias("mean_sec"))
 
 
 def each_batch(stream: DataFrame, work: Callable[[DataFrame], None], checkpoint: str) -> StreamingQuery:
-    """Runs a batch job on every micro-batch; a batch that is replayed is skipped by its number."""
+    """Runs a batch job on every micro-batch; a batch whose number is marked as done beside the checkpoint is skipped."""
 
     def run(batch: DataFrame, number: int) -> None:
-        if not batch.isEmpty():
-            work(batch.withColumn("batch_no", F.lit(number)))
+        spark, mark = batch.sparkSession, f"{checkpoint}-done/{number}.json"
+        if batch.isEmpty() or exists(spark, mark):
+            return
+        work(batch.withColumn("batch_no", F.lit(number)))
+        write_json(spark, {"batch": number}, mark)
 
     return stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

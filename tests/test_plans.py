@@ -109,3 +109,17 @@ def test_harness(spark):
     with PeakMemory() as m:
         pass
     assert m.peak_mb > 0
+
+
+def test_nearest_by_tiles_equals_one_scan(spark, monkeypatch):
+    import numpy as np
+
+    from folioflow.operators import topk
+
+    m = np.random.default_rng(2).normal(size=(60, 4)).round(1)
+    df = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(m)] + [(60, [float(x) for x in m[0]]), (61, [0.0] * 4)], "id int, v array<double>")
+    asked = df.where("id % 20 = 0")
+    rows = lambda **o: sorted((r.query_id, r.rank, r.id, round(r.score, 9)) for r in nearest(df, asked, "id", "v", 3, **o).collect())
+    monkeypatch.setattr(topk, "TILE", 25)
+    assert rows() == rows(block=2) == rows(sent_bytes=0)
+    assert nearest(df, df.where("id < 0"), "id", "v", 3).count() == 0
