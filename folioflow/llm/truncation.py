@@ -22,7 +22,7 @@ import re
 from collections import Counter
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import frame, read, strings, written
@@ -147,11 +147,32 @@ def piled_lengths(lengths: DataFrame) -> DataFrame:
 RATIO_QUANTILE, RATIO_SLACK = 0.01, 0.985
 
 
-def least_ratio(rows: DataFrame) -> float | None:
-    """The characters a generated token that all but a hundredth of the values ending in a full stop reach; one number for the driver."""
+def script_of(text: Column) -> Column:
+    """The script that tells how many characters a token stands for: the first of these that a text has any sign of."""
+    kinds = (("unspaced", r"[\u3040-\u30ff\u3400-\u9fff\uac00-\ud7af\u0e00-\u0eff]"), ("indic", r"[\u0900-\u0dff]"), ("arabic", r"[\u0590-\u08ff]"), ("cyrillic", r"[\u0370-\u052f]"))
+    out = F.when(text.rlike(kinds[0][1]), kinds[0][0])
+    for name, signs in kinds[1:]:
+        out = out.when(text.rlike(signs), name)
+    return out.otherwise("latin")
+
+
+def least_ratios(rows: DataFrame) -> DataFrame:
+    """(script, least): the characters a generated token that all but a hundredth of a script's values ending in a full stop reach; a row for each script."""
     finished = rows.where(F.col("summary").rlike(r"[.!?。！？।؟][\"'”’»)]*\s*$") & ~F.col("summary").rlike(r"\.\.\.\s*$") & (F.col("generated_tokens") > 0))
     ratio = F.length("summary") / F.col("generated_tokens")
-    return finished.agg(F.percentile_approx(ratio, RATIO_QUANTILE, 10000) * RATIO_SLACK).first()[0]
+    return finished.groupBy(script_of(F.col("summary")).alias("script")).agg((F.percentile_approx(ratio, RATIO_QUANTILE, 10000) * RATIO_SLACK).alias("least"))
+
+
+BROADCAST_ROWS, SALTS = 200_000, 64
+
+
+def looked_up(rows: DataFrame, table: DataFrame, key: str) -> DataFrame:
+    """The rows with what a table of unique keys says of theirs; a key of a third of the rows is no burden: the table is pruned to the keys there and sent, or salted beyond BROADCAST_ROWS."""
+    asked = table.join(rows.select(key).where(F.col(key).isNotNull()).distinct(), key, "left_semi")
+    if asked.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        return rows.join(F.broadcast(asked), key, "left")
+    salted = asked.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return rows.withColumn("_salt", F.pmod(F.xxhash64("summary"), F.lit(SALTS)).cast("int")).join(salted, [key, "_salt"], "left").drop("_salt")
 
 
 def judged(summaries: DataFrame, runs: DataFrame, pool: DataFrame | None = None) -> DataFrame:
@@ -159,19 +180,20 @@ def judged(summaries: DataFrame, runs: DataFrame, pool: DataFrame | None = None)
     rows = summaries.where("summary IS NOT NULL AND trim(summary) <> ''").select("pdf_id", "run_id", "summary", "generated_tokens").distinct()
     limits = runs.groupBy("run_id").agg(F.max("summary_max_new_tokens").alias("most_tokens"))
     rows = rows.join(limits, "run_id", "left").withColumn("at_tokens", F.coalesce(F.col("generated_tokens") >= F.col("most_tokens"), F.lit(False)))
-    values = rows.select("summary").distinct()
-    stats = counts(values)
+    values = written(rows.select("summary").distinct())
+    stats = written(counts(values))
     # a value that only lacks its final marks is no prefix of the one that has them
     bare = F.regexp_replace("summary", r"[\s.!?\"'”’»)\]]+$", "")
     copies = values if pool is None else values.union(pool.where("summary IS NOT NULL AND trim(summary) <> ''").select("summary"))
     cut_off = prefixes(copies.select(bare.alias("summary")).where("summary <> ''")).distinct().select(F.col("summary").alias("bare"), F.lit(True).alias("is_prefix"))
     rows = rows.withColumn("bare", bare)
-    open_ = _open(values).withColumn("n_chars", F.length("summary"))
+    open_ = written(_open(values).withColumn("n_chars", F.length("summary")))
     piled = piled_lengths(open_.where("NOT marked").select("n_chars")).withColumn("at_length", F.lit(True))
     named = lambda p: stats.select(F.col("words").alias(p), *(F.col(c).alias(f"{p}_{c}") for c in ("ends", "clauses", "goes_on")))
-    facts = open_.join(named("two"), "two", "left").join(named("one"), "one", "left").join(piled, "n_chars", "left")
+    facts = looked_up(looked_up(looked_up(open_, named("two"), "two"), named("one"), "one"), piled, "n_chars")
     facts = rows.join(facts, "summary", "left").join(cut_off, "bare", "left")
-    least = F.lit(least_ratio(rows)).cast("double")
+    facts = facts.withColumn("script", script_of(F.col("summary"))).join(F.broadcast(least_ratios(rows)), "script", "left")  # five scripts at most
+    least = F.col("least")
     zero = {f"{p}_{c}": 0 for p in ("one", "two") for c in ("ends", "clauses", "goes_on")}
     facts = facts.fillna(zero).withColumn("likely", F.coalesce("at_length", F.lit(False)) | F.col("at_tokens"))
     ratio = F.when(F.col("generated_tokens") > 0, F.length(F.rtrim("summary")) / F.col("generated_tokens"))
