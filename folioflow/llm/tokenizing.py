@@ -201,8 +201,8 @@ class Encoder:
         return starts, np.fromiter(chain.from_iterable(per_text), np.int32, int(starts[-1]))
 
 
-def word_counts(texts: DataFrame, column: str = "text") -> DataFrame:
-    """(word, n) over all texts; each batch is counted before the shuffle."""
+def word_counts(texts: DataFrame, column: str = "text", longest: int = MAX_WORD_BYTES) -> DataFrame:
+    """(word, n) of the words of at most ``longest`` bytes over all texts; each batch is counted before the shuffle."""
 
     def run(it):
         words = regex.compile(PATTERN).findall
@@ -211,6 +211,8 @@ def word_counts(texts: DataFrame, column: str = "text") -> DataFrame:
             for text in strings(batch, column):
                 if text:
                     counts.update(words(text))
+            for word in [w for w in counts if 4 * len(w) > longest and len(w.encode("utf-8", "surrogatepass")) > longest]:
+                del counts[word]  # before the shuffle: the automaton takes no such word
             yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], names=["word", "n"])
 
     return texts.select(column).mapInArrow(run, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
@@ -218,7 +220,7 @@ def word_counts(texts: DataFrame, column: str = "text") -> DataFrame:
 
 def compile_lexicon(texts: DataFrame, ranks: dict[bytes, int], size: int = LEXICON_WORDS, least: int = LEXICON_COUNT) -> Lexicon:
     """The ``size`` most frequent words of the corpus; this bound keeps what reaches the driver small."""
-    frequent = word_counts(texts).where((F.col("n") >= least) & (F.octet_length("word") <= MAX_WORD_BYTES)).orderBy(F.desc("n"), "word").limit(size)
+    frequent = word_counts(texts).where(F.col("n") >= least).orderBy(F.desc("n"), "word").limit(size)
     words = [row.word.encode("utf-8", "surrogatepass") for row in frequent.select("word").collect()]
     return Lexicon.build({w: merge(w, ranks) for w in words})
 
