@@ -99,13 +99,14 @@ class Items:
 class Shard:
     """The suffix array of some documents' words; words that no item has are 0, which ends every match."""
 
-    def __init__(self, texts: list[str | None], vocabulary: dict[str, int]):
+    def __init__(self, texts: list[str | None] | list[list[str]], vocabulary: dict[str, int]):
+        """Of texts, or of their words, where several blocks of items look at them."""
         get = vocabulary.get
         parts, self.doc_start = [], np.zeros(len(texts) + 1, np.int64)
         total = 0
         for i, text in enumerate(texts):
             if text:
-                part = [get(w, 0) for w in words_of(text)]
+                part = [get(w, 0) for w in (words_of(text) if isinstance(text, str) else text)]
                 part.append(0)
                 parts.append(np.array(part, np.int32))
                 total += len(part)
@@ -316,6 +317,11 @@ def item_blocks(items: DataFrame) -> list[list[tuple[int, str]]]:
     return blocks
 
 
+def _split(texts: list[str | None], blocks: int) -> list:
+    """The texts' words, if more than one block of items asks for them; the texts as they are otherwise."""
+    return [words_of(t) if t else [] for t in texts] if blocks > 1 else texts
+
+
 def leaks(documents: DataFrame, items: DataFrame, share: float = SHARE) -> DataFrame:
     """(doc_id, item_id, words_held, longest_match) of every document and item leaked into it."""
     blocks = item_blocks(items)
@@ -324,8 +330,8 @@ def leaks(documents: DataFrame, items: DataFrame, share: float = SHARE) -> DataF
     def run(it):
         made = [Items(block) for block in blocks]
         for batch in it:
-            ids, texts = strings(batch, "doc_id"), strings(batch, "text")
-            out = []
+            ids, out = strings(batch, "doc_id"), []
+            texts = _split(strings(batch, "text"), len(made))
             for block in made:
                 if block.ids:
                     out += [(ids[d], *rest) for d, *rest in find(Shard(texts, block.vocabulary), block, share)]
@@ -342,7 +348,7 @@ def unaffected(documents: DataFrame, items: DataFrame, share: float = SHARE) ->
     def run(it):
         made = [Items(block) for block in blocks]
         for batch in it:
-            texts = strings(batch, "text")
+            texts = _split(strings(batch, "text"), len(made))
             keep = np.ones(len(texts), bool)
             for block in made:
                 if block.ids:

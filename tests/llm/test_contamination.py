@@ -113,3 +113,28 @@ def test_same_pairs_as_brute_force():
                 if 2 * held >= len(item):
                     truth.add((d, k, held))
         assert {x[:3] for x in find(shard, items)} == truth
+
+
+def test_edits_at_every_second_to_fifth_word():
+    for every in (2, 3, 4, 5):
+        items = Items(ITEMS)
+        docs = [f"{filler(30)} {edited(text.split(), every)} {filler(30)}" for _, text in ITEMS]
+        shard = Shard(docs, items.vocabulary)
+        truth = set()
+        for d in range(len(docs)):
+            words = shard.words[shard.doc_start[d] : shard.doc_start[d + 1]].tolist()
+            for k, item in items.words.items():
+                span = len(item) + 2 * max(4, len(item) // 4)
+                if 2 * max(common_length(item, words[i : i + span]) for i in range(len(words))) >= len(item):
+                    truth.add((d, k))
+        assert {x[:2] for x in find(shard, items)} == truth
+
+
+def test_several_blocks_of_items(spark, monkeypatch):
+    from folioflow.llm import contamination
+
+    documents = spark.createDataFrame([(k, f"{filler(20)} {t}") for k, t in ITEMS] + [(99, None), (98, "")], "doc_id long, text string")
+    items = spark.createDataFrame(ITEMS, "item_id long, item_text string")
+    one = {(r.doc_id, r.item_id) for r in leaks(documents, items).collect()}
+    monkeypatch.setattr(contamination, "BLOCK_WORDS", 40)
+    assert len(item_blocks(items)) > 2 and {(r.doc_id, r.item_id) for r in leaks(documents, items).collect()} == one
