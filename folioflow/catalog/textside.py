@@ -9,10 +9,12 @@ from ..config import Config
 from ..functions.text import ABBREVIATIONS, LINE_BREAK, NOT_WORD, SPACE, STOP_WORDS, blocks, hypothesis, ngram_rows, present, segments, sentences, tokens
 from ..operators.admission import first_words, read_until
 from ..operators.clean import BODY_SCORE, BOILERPLATE, TITLE_WORDS, clean, raw_sizes, reduction, with_repeated_lines
+from ..operators.classify import WINDOW_TOKENS
 from ..operators.context import reduce_context
 from ..operators.keywords import top_terms
 from ..operators.validate import FAILURES, validate
-from ..operators.windows import even_positions, pack
+from ..operators.windows import even_positions
+from ..operators.windows import token_windows as packed
 from ..sources.tables import table
 from .base import query, quoted
 
@@ -157,7 +159,7 @@ def ngram_vocabulary(spark, d):
     return ngram_rows(bodies, "pdf_id", "body").distinct().groupBy("pdf_id").agg(F.count(F.lit(1)).alias("candidates"))
 
 
-BUDGET = 400
+BUDGET = Config().reduced_context_chars
 _PHRASES = "SELECT DISTINCT pdf_id, run_id, list_transform(keywords, lambda k: k.phrase) AS phrases FROM document_metrics WHERE keywords IS NOT NULL"
 
 
@@ -174,7 +176,7 @@ g AS (SELECT pdf_id, run_id, count(*)::INT AS sentences_kept, max(chars)::INT AS
 SELECT s.pdf_id, s.run_id, coalesce(sentences_kept, 0)::INT AS sentences_kept, coalesce(reduced_context_chars, 0)::INT AS reduced_context_chars, coalesce(used_fallback, true) AS used_fallback, coalesce(reduced_context, '') AS reduced_context
 FROM s LEFT JOIN g USING (pdf_id, run_id)""")
 def context_budget(spark, d):
-    """FIL11-FIL12, WN1: the context of every document with keyphrases, up to 400 characters."""
+    """FIL11-FIL12, WN1: the context of every document with keyphrases, up to the configured budget."""
     phrases = table(spark, d, "document_metrics").where("keywords IS NOT NULL").select("pdf_id", "run_id", F.transform("keywords", lambda k: k["phrase"]).alias("phrases")).distinct()
     done = reduce_context(_bodies(spark, d).join(phrases, ["pdf_id", "run_id"]), BUDGET)
     return done.select("pdf_id", "run_id", "sentences_kept", "reduced_context_chars", "used_fallback", "reduced_context")
@@ -188,17 +190,39 @@ def even_pages(spark, d):
     return _pages(spark, d).select("pdf_id", "run_id", F.explode(even_positions(F.size("pages"), 3)).alias("page"))
 
 
-@query()
-def token_windows(spark, d):
-    """WN2: windows of whole sentences of every body; greedy with a look back, so in Arrow batches."""
+def _windows_sql(budget: int, overlap: float) -> str:
+    """Greedy windows by recursion: each one's end and the next one's begin, over the running totals of tokens."""
+    last = lambda total: f"len(list_filter(upto, lambda u: u <= {total})) - 1"  # noqa: E731 - the last sentence up to a total
+    end = lambda begin: f"greatest({begin} + 1, {last(f'upto[{begin} + 1] + {budget}')})"
+    again = f"greatest(b + 1, least(e, {last(f'upto[e + 1] - {int(budget * overlap)}')}))"
+    return f"""
+WITH RECURSIVE d AS (SELECT DISTINCT pdf_id, body FROM clean_out WHERE body IS NOT NULL),
+p AS (SELECT pdf_id, {_SENTENCES('body')} AS s FROM d),
+z AS (SELECT pdf_id, s, list_transform(s, lambda x: len({_TOKENS('x')})) AS n FROM p WHERE len(s) > 0),
+t AS (SELECT pdf_id, s, n, list_transform(range(0, len(n) + 1), lambda i: coalesce(list_sum(n[1:i]), 0)::BIGINT) AS upto FROM z),
+w(pdf_id, pos, b, e) AS (
+  SELECT pdf_id, 0, 0::BIGINT, {end('0')} FROM t
+  UNION ALL
+  SELECT pdf_id, pos + 1, nb, {end('nb')} FROM (SELECT w.pdf_id, w.pos, t.upto, {again} AS nb FROM w JOIN t USING (pdf_id) WHERE w.e < len(t.s)))
+SELECT w.pdf_id, w.pos::INT AS pos, CASE WHEN n[b + 1] > {budget} THEN array_to_string(({_TOKENS('s[b + 1]')})[1:{budget}], ' ') ELSE array_to_string(s[b + 1:e], ' ') END AS "window" FROM w JOIN t USING (pdf_id)"""
+
+
+def _windows(spark: SparkSession, d: str, budget: int, overlap: float) -> DataFrame:
     bodies = table(spark, d, "clean_out").where("body IS NOT NULL").select("pdf_id", "body").distinct()
+    rows = bodies.select("pdf_id", packed(sentences(F.col("body")), budget, overlap).alias("w"))
+    return rows.select("pdf_id", F.posexplode("w").alias("pos", "window"))
+
+
+@query(_windows_sql(WINDOW_TOKENS, 0.125))
+def token_windows(spark, d):
+    """WN2: the classifier's windows of whole sentences of every body; greedy with a look back, so in Arrow batches."""
+    return _windows(spark, d, WINDOW_TOKENS, 0.125)
 
-    @F.pandas_udf("array<string>")
-    def windows(batch):
-        return batch.map(lambda s: pack(list(s), 64, 0.25))
 
-    rows = bodies.select("pdf_id", windows(sentences(F.col("body"))).alias("w"))
-    return rows.select("pdf_id", F.posexplode("w").alias("pos", "window")).select("pdf_id", "pos", "window")
+@query(_windows_sql(64, 0.25))
+def short_token_windows(spark, d):
+    """WN2: windows for a model that takes 64 tokens, so that most bodies have many."""
+    return _windows(spark, d, 64, 0.25)
 
 
 @query(f"""
@@ -229,10 +253,10 @@ def page_threshold(spark, d):
 
 
 @query(f"""
-SELECT doc_id, CASE WHEN len(t) > 100 THEN array_to_string(t[1:100], ' ') ELSE text END AS head FROM (SELECT doc_id, text, {_TOKENS('text')} AS t FROM documents WHERE text IS NOT NULL)""")
+SELECT doc_id, CASE WHEN len(t) > 1000 THEN array_to_string(t[1:1000], ' ') ELSE text END AS head FROM (SELECT doc_id, text, {_TOKENS('text')} AS t FROM documents WHERE text IS NOT NULL)""")
 def head_words(spark, d):
-    """SRC12, LI5: the first 100 words of texts longer than that."""
-    return table(spark, d, "documents").where("text IS NOT NULL").select("doc_id", first_words(F.col("text"), 100).alias("head"))
+    """SRC12, LI5: the first 1,000 words of texts longer than that."""
+    return table(spark, d, "documents").where("text IS NOT NULL").select("doc_id", first_words(F.col("text"), 1000).alias("head"))
 
 
 @query(f"""

@@ -14,7 +14,6 @@ from .base import query
 LABELS = ("threats", "technology", "policy")
 _LOGITS = """
 SELECT vec_id, label AS doc, (vec_id % 7)::BIGINT AS weight, unnest(['threats', 'technology', 'policy']) AS name, unnest([embedding[1]::DOUBLE, embedding[2]::DOUBLE, embedding[3]::DOUBLE]) * 5 AS logit FROM embeddings"""
-_SOFT = f"SELECT *, exp(logit - max(logit) OVER w) / sum(exp(logit - max(logit) OVER w)) OVER w AS score FROM (SELECT *, max(logit) OVER (PARTITION BY vec_id) AS top FROM ({_LOGITS})) WINDOW w AS (PARTITION BY vec_id)"
 _SOFT = f"SELECT vec_id, doc, weight, name, logit, exp(logit - top) / sum(exp(logit - top)) OVER (PARTITION BY vec_id) AS score FROM (SELECT *, max(logit) OVER (PARTITION BY vec_id) AS top FROM ({_LOGITS}))"
 _MEANS = f"SELECT doc, name, coalesce(sum(score * weight) / nullif(sum(weight), 0), 1.0 / 3) AS score FROM ({_SOFT}) GROUP BY doc, name"
 
