@@ -13,8 +13,8 @@ Words are compared after NFKC, case folding and removal of markup, punctuation,
 invisible characters and hyphens at line ends.
 
 Size: shards are searched where they lie and nothing is shuffled but the found
-pairs.  The items (a held-out set of bounded size, checked) go to every shard;
-more than one block of them is searched block by block.
+pairs.  The items go to every shard, in parts of a checked size, each in a pass of
+its own; more than one block of a part is searched block by block.
 
 Defined cases: null and empty texts or items match nothing; an item of fewer than
 three words is found only whole, one of up to five by three words in order; repeated rows give one pair.
@@ -27,6 +27,7 @@ import math
 import re
 import unicodedata
 from collections import defaultdict
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -300,15 +301,20 @@ def find(shard: Shard, items: Items, share: float = SHARE) -> list[tuple[int, in
     return found
 
 
-def item_blocks(items: DataFrame) -> list[list[tuple[int, str]]]:
-    """The held-out items in blocks of at most BLOCK_WORDS words; their total size is checked."""
+def item_parts(items: DataFrame, most: int = MAX_ITEM_BYTES) -> list[DataFrame]:
+    """The held-out items in parts of about ``most`` bytes, by a hash of their ids; each is searched in a pass of its own."""
     rows = items.where("item_text IS NOT NULL AND item_id IS NOT NULL")
     size = rows.agg(F.coalesce(F.sum(F.octet_length("item_text")), F.lit(0))).first()[0]
-    if size > MAX_ITEM_BYTES:
-        raise ValueError(f"the evaluation texts have more than {MAX_ITEM_BYTES} bytes; search them in parts")
+    parts = max(1, -(-size // most))
+    return [rows.where(F.pmod(F.xxhash64("item_id"), F.lit(parts)) == part) for part in range(parts)] if parts > 1 else [rows]
+
+
+def item_blocks(items: DataFrame) -> list[list[tuple[int, str]]]:
+    """The items of a part in blocks of at most BLOCK_WORDS words."""
+    rows = items.where("item_text IS NOT NULL AND item_id IS NOT NULL")
     blocks: list[list] = [[]]
     words = 0
-    for row in rows.select("item_id", "item_text").distinct().orderBy("item_id", "item_text").collect():
+    for row in rows.select("item_id", "item_text").distinct().orderBy("item_id", "item_text").collect():  # about MAX_ITEM_BYTES
         words += len(row.item_text) // 4
         if words > BLOCK_WORDS and blocks[-1]:
             blocks.append([])
@@ -324,7 +330,10 @@ def _split(texts: list[str | None], blocks: int) -> list:
 
 def leaks(documents: DataFrame, items: DataFrame, share: float = SHARE) -> DataFrame:
     """(doc_id, item_id, words_held, longest_match) of every document and item leaked into it."""
-    blocks = item_blocks(items)
+    return reduce(DataFrame.union, [_leaks(documents, item_blocks(part), share) for part in item_parts(items)])
+
+
+def _leaks(documents: DataFrame, blocks: list[list[tuple[int, str]]], share: float) -> DataFrame:
     names, types = ["doc_id", "item_id", "words_held", "longest_match"], [pa.int64(), pa.int64(), pa.int32(), pa.int32()]
 
     def run(it):
@@ -342,9 +351,13 @@ def leaks(documents: DataFrame, items: DataFrame, share: float = SHARE) -> DataF
 
 
 def unaffected(documents: DataFrame, items: DataFrame, share: float = SHARE) -> DataFrame:
-    """The rows of the documents that no item leaked into, with all their columns; they are filtered where they lie."""
-    blocks = item_blocks(items)
+    """The rows of the documents that no item leaked into, with all their columns; they are filtered where they lie, once for each part of the items."""
+    for part in item_parts(items):
+        documents = _unaffected(documents, item_blocks(part), share)
+    return documents
+
 
+def _unaffected(documents: DataFrame, blocks: list[list[tuple[int, str]]], share: float) -> DataFrame:
     def run(it):
         made = [Items(block) for block in blocks]
         for batch in it:

@@ -1,6 +1,6 @@
 """Problem 1: pieces of oversized texts, by content-defined chunking.
 
-Landmarks are positions whose rolling hash (48 code points) is a local maximum,
+Landmarks are positions whose rolling hash (48 code points) is below a threshold,
 so they depend only on the text around them.  Each cut snaps to the natural
 boundary nearest to the first landmark in reach; an edit therefore moves only
 the cuts beside it, and later cuts fall on the same places again.

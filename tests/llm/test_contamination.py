@@ -137,4 +137,9 @@ def test_several_blocks_of_items(spark, monkeypatch):
     items = spark.createDataFrame(ITEMS, "item_id long, item_text string")
     one = {(r.doc_id, r.item_id) for r in leaks(documents, items).collect()}
     monkeypatch.setattr(contamination, "BLOCK_WORDS", 40)
+    assert len(contamination.item_parts(items, 500)) > 2
+    parts = contamination.item_parts
+    monkeypatch.setattr(contamination, "item_parts", lambda x: parts(x, 500))
+    assert {(r.doc_id, r.item_id) for r in leaks(documents, items).collect()} == one
+    assert {r.doc_id for r in contamination.unaffected(documents, items).collect()} == {98, 99}
     assert len(item_blocks(items)) > 2 and {(r.doc_id, r.item_id) for r in leaks(documents, items).collect()} == one
