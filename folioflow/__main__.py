@@ -8,6 +8,7 @@ import os
 
 from .config import FIRST_PAGE, MODES, Config, load_tree, lookup, new_run_id
 from .session import build
+from .sources.shared import clear_written
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -114,6 +115,7 @@ def main(argv: list[str] | None = None) -> int:
         if args.target:
             write_json(spark, figures, args.target)
         print(json.dumps(figures))
+    clear_written(spark)
     return 0
 
 
