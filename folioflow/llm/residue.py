@@ -68,7 +68,7 @@ ASK = _any(
     r"^\W*(?:(?:sorry|to (?:continue|go on|proceed)|then),?\s+)?(?:please|enable|activate|allow|turn|switch|verify|confirm|complete|check|return|go back|try|contact|reload|refresh|press|click|sign|log|wait|update|upgrade|accept|solve|bitte|aktivieren|erlauben|veuillez|merci de|activez|activer|autorisez|por favor|active|activar|habilite|permita|ative|ativar|attiva|attivare|abilita|schakel|activeer|пожалуйста|включите|разрешите)\b",
     r"(?:[,:;] (?:then |so )?|\band |\bor )(?:complete|press|allow|reload|refresh|sign in|log in|try again)\b", "请|启用|开启|打开|ください|有効に|يرجى|الرجاء|कृपया|กรุณา|โปรด",
 )
-SCRIPT = _any(r"\b(?:java ?script|scripts?|cookies?|captcha|ad ?block\w*|extensions?|skripte?|скрипт\w*)\b", "脚本|スクリプト|جافا|जावास्क्रिप्ट")
+SCRIPT = _any(r"\b(?:java ?script|scripts?|cookies?|captcha|ad ?block\w*|skripte?|скрипт\w*)\b", "脚本|スクリプト|جافا|जावास्क्रिप्ट")
 PLACE = _any(
     r"\b(?:page|site|website|server|upstream|origin|browser|requests?|session|link|address|url|connection|database|resource|content|application|app|seite|anfrage|sitzung|inhalte?|lien|demande|navigateur|contenu|serveur|página|pagina|enlace|solicitud|navegador|servidor|contenido|conteúdo|collegamento|richiesta|страниц\w*|ссылк\w*|запрос\w*|сервер\w*|браузер\w*)\b",
     "页面|网页|网站|链接|服务器|浏览器|ページ|サイト|リンク|サーバー|ブラウザ|صفحة|الرابط|المتصفح|पृष्ठ|पेज|ลิงก์|เบราว์เซอร์|หน้า",
@@ -103,7 +103,7 @@ BEGIN = _any(r"\b(?:your own|start writing|goes here|get started|under construct
 CONSENT = _any(r"\b(?:uses?|stores?|agree|consent|help us)\b[^.]{0,40}\b(?:cookies|small files|tracking)\b", r"\bcookies help\b")
 #: what tells a report about a message from the message
 REPORTED = _any(
-    r"\b(?:said|told|says|asks?|asked|showed|shows|saw|reported|warned|noticed|copi(?:es|ed)|wrote|described|claims?|claimed|denied|called|found|hid|sent out|pretend\w*|imitat\w*|fake)\b", r"\b(?:visitors?|attackers?|victims?|researchers?|people|customers?|users|lure|kit|gang|crew|phishing|employees|staff|readers)\b",
+    r"\b(?:said|told|says|asks?|(?<!you )asked|showed|shows|saw|reported|warned|noticed|copi(?:es|ed)|wrote|described|claims?|claimed|denied|called|(?<!be )(?<!not )found|hid|sent out|pretend\w*|imitat\w*|fake)\b", r"\b(?:visitors?|attackers?|victims?|researchers?|people|customers?|users|lure|kit|gang|crew|phishing|employees|staff|readers)\b",
 )
 _ENGLISH = re.compile(r"\b(?:the|to|of|and|you|your|this|is|are|has|have|a)\b", re.I)
 _NAMED = re.compile(r"(?<=[a-z,;] )(?!Continue|JavaScript|Javascript|HTTP|Accept|Allow|OK|I\b)[A-Z][a-z]+\w*")
@@ -140,7 +140,7 @@ def message(unit: str, lone: bool = False) -> str | None:
 #: words of which a unit has at least one to be looked at closer; signs of scripts without spaces are searched as such
 _ANCHORS = frozenset(
     word + mark
-    for word in "you your yours we our please sorry oops whoops javascript cookie cookies captcha script scripts expired unavailable denied forbidden blocked broken removed timeout maintenance permission requested loading wait shortly mistake wrong error human robot found respond answer "
+    for word in "you your yours we our please sorry oops whoops javascript cookie cookies captcha script scripts expired unavailable denied forbidden blocked broken removed timeout maintenance permission requested loading wait shortly mistake wrong error human robot found respond answer return connection opened upstream address"
     "here sample dummy placeholder untitled replace writing coming construction bitte sie ihr ihrem ihren seite veuillez vous votre ici demandée existe usted aquí favor aqui seu sua conteúdo continuar continuer página lien enlace hier uw tekst qui attiva attivare ativar ative habilite schakel activeer gefunden introuvable пожалуйста включите найдена найден вы ваш ваша здесь страница beispieltext voorbeeldtekst n'existe n’existe you're".split()
     for mark in ("", ".", ",", ":", ";", "!", "?", "...", "…")
 )
