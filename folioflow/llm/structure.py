@@ -274,12 +274,14 @@ class Measured:
         tight = np.concatenate([[0], np.cumsum((codes == 44) & np.concatenate([~blank[1:], [True]]))])
         gaps = np.bincount(np.searchsorted(self.begin, start[special], side="right") - 1, minlength=n) if len(special) and start[special[0]] >= self.begin[0] else np.zeros(n, np.int64)
         row = (cells >= 2) | (tight[self.end] - tight[self.begin] >= 4) | (gaps >= 2) | (self.counts[:, LEADER] > 0)
-        layout = np.where(self.words > 6, WRAPPED, np.where((self.size > 25) & (np.argmax(self.script[:, 1:], 1) == 3), WRAPPED, SHORT))
+        running_line = self.script[:, 4] * 2 > self.script[:, 1:4].max(axis=1)  # of a script without spaces
+        layout = np.where((self.words > 6) | (self.size > 25) & running_line, WRAPPED, SHORT)
         layout = np.where(stopped | (inside[self.end] - inside[self.begin] >= 2) | (unspaced[self.end] - unspaced[self.begin] >= 2), SENTENCE, layout)
         layout = np.where(item, ITEM, layout)
         layout = np.where(row, ROW, layout)
         layout = np.where(longest > 0.5 * self.size, SOLID, layout)
-        spoken_item = item & ~row & ((self.words > 7) | stopped & (self.words > 4))  # a sentence that is an item is half of each
+        whole = (self.words > 4) | (self.size > 25) & running_line  # a sentence that is an item is half of each
+        spoken_item = item & ~row & ((self.words > 7) | stopped & whole)
         share = np.where(spoken_item, 0.5, 1).astype(np.float32)
         self.counts[np.arange(n), layout] = share
         self.counts[np.arange(n), np.where(stopped, SENTENCE, WRAPPED)] += 1 - share
