@@ -98,3 +98,35 @@ def test_grid_and_settings(spark, tmp_path):
     (tmp_path / "s.yaml").write_text("run:\n  max_pages: 2\n")
     (tmp_path / "e.yaml").write_text("")
     assert load_tree(str(tmp_path / "s.yaml")) == {"run": {"max_pages": 2}} and load_tree(str(tmp_path / "e.yaml")) == {}
+
+
+def test_pages_come_in_the_order_of_the_tree():
+    import zlib
+
+    from folioflow.sources.corpus import pdf_pages
+
+    def stream(data, extra=b""):
+        packed = zlib.compress(data)
+        return b"<< /Filter /FlateDecode /Length %d %s>>\nstream\n%s\nendstream" % (len(packed), extra, packed)
+
+    to_unicode = b"1 begincodespacerange <0000> <FFFF> endcodespacerange 1 beginbfchar <0001> <0416> endbfchar 1 beginbfrange <0002> <0004> <0061> endbfrange"
+    objects = {
+        1: b"<< /Type /Catalog /Pages 2 0 R >>",
+        2: b"<< /Type /Pages /Kids [4 0 R 3 0 R] /Count 2 /Resources << /Font << /F1 8 0 R >> >> >>",
+        3: b"<< /Type /Page /Parent 2 0 R /Contents 5 0 R >>",
+        4: b"<< /Type /Page /Parent 2 0 R /Contents [6 0 R 7 0 R] >>",
+        5: stream(b"BT (second \\(page\\)) Tj 0 -12 Td (caf\\351) Tj ET"),
+        6: stream(b"BT /F1 12 Tf <00010002> Tj ET"),
+        7: stream(b"BT /F1 12 Tf [<0003> -300 <0004>] TJ ET"),
+        8: b"<< /Type /Font /ToUnicode 9 0 R >>",
+        9: stream(to_unicode),
+    }
+    file = b"%PDF-1.5\n" + b"".join(b"%d 0 obj\n%s\nendobj\n" % x for x in objects.items()) + b"trailer << /Root 1 0 R >>\n%%EOF"
+    assert pdf_pages(file) == (2, ["\u0416a\nb c", "second (page)\ncafé"])
+    assert pdf_pages(file, 1) == (2, ["\u0416a\nb c"])
+    # the same with the pages' dictionaries in an object stream
+    inner = [(n, objects[n]) for n in (2, 3, 4)]
+    index = b" ".join(b"%d %d" % (n, sum(len(o) + 1 for _, o in inner[:i])) for i, (n, _) in enumerate(inner)) + b" "
+    packed = stream(index + b" ".join(o for _, o in inner), b"/Type /ObjStm /N 3 /First %d " % len(index))
+    file = b"%PDF-1.5\n" + b"".join(b"%d 0 obj\n%s\nendobj\n" % (n, o) for n, o in {**{k: v for k, v in objects.items() if k not in (2, 3, 4)}, 10: packed}.items()) + b"%%EOF"
+    assert pdf_pages(file)[1] == ["\u0416a\nb c", "second (page)\ncafé"]
