@@ -532,8 +532,9 @@ def furniture(rows: DataFrame, hosts: DataFrame) -> DataFrame:
     salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
     below = F.transform("path", lambda p: p.bitwiseAND(F.lit(~CLASS)).bitwiseOR(F.lit(BELOW)))
     forms = placed.select("pdf_id", "host", salt.alias("salt"), F.explode(F.array_distinct(F.concat("path", "prefix", "folded", "masked", "sentence", "mask", below))).alias("path")).where("path <> 0").distinct()
-    of_all = forms.join(everywhere.select("path", "strong", salts), ["path", "salt"]).select("pdf_id", "path", "strong")
-    of_host = forms.join(local.select("host", "path", "strong", salts), ["host", "path", "salt"]).select("pdf_id", "path", "strong")
+    # Spark takes the salted winners for as small as their files, and would send SALTS rows for each through the driver
+    of_all = forms.join(everywhere.select("path", "strong", salts).hint("merge"), ["path", "salt"]).select("pdf_id", "path", "strong")
+    of_host = forms.join(local.select("host", "path", "strong", salts).hint("merge"), ["host", "path", "salt"]).select("pdf_id", "path", "strong")
     own = of_all.union(of_host).groupBy("pdf_id", "path").agg(F.max("strong").alias("strong"))
     own = own.groupBy("pdf_id").agg(F.collect_list("path").alias("won"), F.collect_list(F.when(F.col("strong"), F.col("path"))).alias("strong"))  # bounded: the document's own paths
 

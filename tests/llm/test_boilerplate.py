@@ -37,6 +37,17 @@ def test_many_winners_are_joined_by_salt(spark, monkeypatch):
     assert run(spark, corpus(), 0, monkeypatch) == run(spark, corpus(), 10**6, monkeypatch)
 
 
+def test_salted_winners_are_not_sent_through_the_driver(spark, monkeypatch):
+    monkeypatch.setattr(b, "BROADCAST_ROWS", 0)
+    rows = spark.createDataFrame([(p, f, t, pages) for p, _, f, t, pages in corpus()], "pdf_id string, field string, title string, pages array<string>")
+    hosts = spark.createDataFrame(sorted({(p, h) for p, h, *_ in corpus()}), "pdf_id string, host string")
+    found = b.furniture(b.scored(rows), hosts)
+    assert found.count()
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    joins = [line for line in plan.split("\n") if "Join [" in line and "salt" in line]
+    assert joins and all("SortMergeJoin" in line for line in joins)
+
+
 def test_promotions_wrapped_anywhere():
     lines = b.Lines()
     lines.add_page(1, "An article line here.\n\nDownload the free Acme buyer guide to compare vendors, see sample\ncontracts and learn which questions to ask before you\nsign.")
