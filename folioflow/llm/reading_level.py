@@ -9,8 +9,9 @@ median, so it tells how the text reads for most of it.  Isotonic regression, fit
 score to a level from 1 to 4 that never falls as surprisal grows; plain texts are
 scored for that by models that left their fold out.
 
-The models are fitted on at most ``TRAINING_DOCS`` labelled documents (those with
-the least hash of their id); all documents are scored, whole.
+The models and the map are fitted on all labelled documents, where these lie:
+counts of contexts are added up, a sorted table of scores gives the bins that the
+isotonic regression is fitted to.  All documents are scored, whole.
 
 Defined cases: null and empty texts, and texts without English running text, have
 a null level; raters' bands of one document are averaged, null bands left out;
@@ -20,21 +21,24 @@ without any label, every level is null.
 from __future__ import annotations
 
 import re
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import frame, read, strings
+from .common import frame, read, strings, written
 
-TRAINING_DOCS = 2000
+#: labelled documents that are looked for in one pass over the documents; more are more passes
+LABELS_A_PASS = 1_000_000
 FOLDS = 5
 MIN_WORDS = 50
 EXPERT = 3.5
 QUANTILE = 0.58
 BIN = 5
 SYMBOLS, ORDER = 28, 4
+CONTEXTS = SYMBOLS**ORDER
 
 #: Common function words of English that are no common words of other European languages.
 FUNCTION_WORDS = frozenset("and any are been but by for from had has have his if is it its my nor not of or our she such than that the their them then there these they this those to under upon was we were what when whether which while who whose will with within would you your".split())
@@ -86,11 +90,16 @@ def context(codes: np.ndarray) -> np.ndarray:
 
 def train(texts: list[str]) -> np.ndarray:
     """Bits of each symbol after each context of three, interpolated over all shorter contexts."""
-    codes = [symbols(t) for t in texts if t]
-    counts = np.zeros(SYMBOLS**ORDER)
-    for c in codes:
-        np.add.at(counts, context(c), 1)
-    counts = counts.reshape([SYMBOLS] * ORDER)
+    counts = np.zeros(CONTEXTS, np.int64)
+    for t in texts:
+        if t:
+            np.add.at(counts, context(symbols(t)), 1)
+    return interpolated(counts)
+
+
+def interpolated(counts: np.ndarray) -> np.ndarray:
+    """The bits by the counts of each context of three with the symbol after it."""
+    counts = counts.astype(float).reshape([SYMBOLS] * ORDER)
     p = np.full(SYMBOLS, 1 / SYMBOLS)
     for order in range(1, ORDER + 1):
         of_order = counts.sum(axis=tuple(range(ORDER - order))) if order < ORDER else counts
@@ -139,38 +148,86 @@ def isotonic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.array([k[0] for k in knots]), np.array([k[1] for k in knots])
 
 
-def binned(x: np.ndarray, y: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Means of ``size`` neighbours each, so that one rater's slip moves no knot."""
-    order = np.argsort(x, kind="stable")
-    parts = np.array_split(order, max(1, len(order) // size))
-    return np.array([x[p].mean() for p in parts]), np.array([y[p].mean() for p in parts])
+def labelled(documents: DataFrame, labels: DataFrame) -> DataFrame:
+    """(doc_id, text, band, fold) of every document with a band and a text, as a table."""
+    bands = labels.where("band IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.avg("band").alias("band"))
+    texts = documents.where("text IS NOT NULL AND text <> ''").select("doc_id", "text", F.pmod(F.xxhash64("doc_id"), F.lit(FOLDS)).cast("int").alias("fold"))
+    passes = max(1, -(-bands.count() // LABELS_A_PASS))
+    of_pass = F.pmod(F.xxhash64(F.lit("pass"), "doc_id"), F.lit(passes))
+    tables = [written(texts.join(F.broadcast(bands.where(of_pass == k)), "doc_id").select("doc_id", "text", "band", "fold")) for k in range(passes)]
+    return reduce(DataFrame.unionAll, tables)
 
 
-def fit(documents: DataFrame, labels: DataFrame, most: int = TRAINING_DOCS) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
-    """(bits, knots) from at most ``most`` labelled documents, or None without labels."""
-    bands = labels.where("band IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.avg("band").alias("band"))
-    chosen = bands.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
-    rows = documents.where("text IS NOT NULL AND text <> ''").select("doc_id", "text").join(F.broadcast(chosen), "doc_id").collect()
-    plain: dict[int, str] = {}
-    for row in sorted(rows, key=lambda r: r.doc_id):
-        found, english, running = sentences(row.text)
-        if row.band <= 2 and english >= 0.5 * running:
-            plain[row.doc_id] = " ".join(w for s in found for w in s) + " "
-    if not plain:
+def counted(rows: DataFrame) -> np.ndarray:
+    """Counts of each context with its symbol in the plain labelled texts, by fold."""
+
+    def run(it):
+        counts = np.zeros((FOLDS, CONTEXTS), np.int64)
+        for batch in it:
+            for text, fold in zip(strings(batch, "text"), strings(batch, "fold")):
+                found, english, running = sentences(text)
+                if found and english >= 0.5 * running:
+                    np.add.at(counts[fold], context(symbols(" ".join(w for s in found for w in s) + " ")), 1)
+        at = np.flatnonzero(counts)
+        yield frame(["place", "n"], [at, counts.ravel()[at]], [pa.int32(), pa.int64()])
+
+    found = rows.where("band <= 2").select("text", "fold").mapInArrow(run, "place int, n bigint").groupBy("place").agg(F.sum("n").alias("n")).toArrow()  # at most FOLDS * CONTEXTS rows
+    counts = np.zeros(FOLDS * CONTEXTS, np.int64)
+    counts[found["place"].to_numpy()] = found["n"].to_numpy()
+    return counts.reshape(FOLDS, CONTEXTS)
+
+
+def binned(scored: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Means of x and y over neighbours by x, so that one rater's slip moves no knot: about a hundred bins, or bins of BIN."""
+    scored = written(scored)  # the ranges are sampled from it before it is sorted
+    placed = written(scored.repartitionByRange("x", "doc_id").sortWithinPartitions("x", "doc_id").select("x", "y", F.monotonically_increasing_id().alias("place")))
+    part = F.shiftright("place", 33)
+    sizes = sorted(placed.groupBy(part.alias("part")).count().collect())
+    n = sum(s["count"] for s in sizes)
+    if not n:
+        return np.zeros(0), np.zeros(0)
+    before = np.concatenate([[0], np.cumsum([s["count"] for s in sizes])]).tolist()
+    starts = placed.sparkSession.createDataFrame([(s["part"], b) for s, b in zip(sizes, before)], "part bigint, before bigint")
+    bins = max(1, n // max(BIN, n // 100))
+    least, larger = divmod(n, bins)  # so many bins hold one more
+    rank = F.col("before") + F.col("place").bitwiseAND(F.lit((1 << 33) - 1))
+    bin_of = F.when(rank < larger * (least + 1), F.floor(rank / (least + 1))).otherwise(larger + F.floor((rank - larger * (least + 1)) / least))
+    # sums of decimals don't depend on the order
+    total = lambda c: F.sum(F.col(c).cast("decimal(28,15)")).alias(c)
+    means = placed.withColumn("part", part).join(F.broadcast(starts), "part").groupBy(bin_of.alias("bin")).agg(total("x"), total("y"), F.count(F.lit(1)).alias("n")).orderBy("bin").collect()
+    return np.array([float(m.x) / m.n for m in means]), np.array([float(m.y) / m.n for m in means])
+
+
+def fit(documents: DataFrame, labels: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
+    """(bits, knots) from all labelled documents, or None without plain ones."""
+    rows = labelled(documents, labels)
+    counts = counted(rows)
+    every = counts.sum(axis=0)
+    if not every.any():
         return None
-    bits = train(list(plain.values()))
+    bits = interpolated(every)
     # a text the model was trained on would surprise it less than others of its kind: it is scored by one that left its fold out
-    fold = {doc: i % FOLDS for i, doc in enumerate(plain)}
-    left_out = [train([t for doc, t in plain.items() if fold[doc] != k]) for k in range(FOLDS)] if len(plain) > 1 else []
-    scored = [(s, row.band) for row in rows if (s := score(row.text, left_out[fold[row.doc_id]] if left_out and row.doc_id in fold else bits)[0]) is not None]
-    x, y = (np.array(v, float) for v in zip(*scored))
-    return (bits, *isotonic(*binned(x, y, max(BIN, len(x) // 100))))
+    left_out = [interpolated(every - of_fold) if of_fold.any() and (every > of_fold).any() else bits for of_fold in counts]
+    sent = rows.sparkSession.sparkContext.broadcast((bits, left_out))
+
+    def run(it):
+        for batch in it:
+            bits, left_out = sent.value
+            out = []
+            for doc, text, band, fold in zip(*(strings(batch, c) for c in ("doc_id", "text", "band", "fold"))):
+                middle = score(text, left_out[fold] if band <= 2 else bits)[0]
+                if middle is not None:
+                    out.append((doc, middle, band))
+            yield frame(["doc_id", "x", "y"], list(zip(*out)) or [[], [], []], [pa.int64(), pa.float64(), pa.float64()])
+
+    x, y = binned(rows.mapInArrow(run, "doc_id bigint, x double, y double"))
+    return (bits, *isotonic(x, y)) if len(x) else None
 
 
 def levels(documents: DataFrame, labels: DataFrame) -> DataFrame:
     """(doc_id, n_words, surprisal, surprisal_p90, level) of every document."""
     model = fit(documents, labels)
-    sent = documents.sparkSession.sparkContext.broadcast(model)  # 28**4 floats and at most two knots a training document
+    sent = documents.sparkSession.sparkContext.broadcast(model)  # 28**4 floats and at most two knots a bin
     names = ["doc_id", "n_words", "surprisal", "surprisal_p90", "level"]
     types = [pa.int64(), pa.int32(), pa.float64(), pa.float64(), pa.float64()]
 
