@@ -80,13 +80,14 @@ _LINE = re.compile(
     r"Page \d+ (?:of|/) \d+"
     r")$",
 )
-_INSIDE_HINT = re.compile(r"ookie|クッキー|サイトは|本网站|कुकी|คุกกี้|ملفات|rights reserved|trading name|Print view| - page \d")
+_INSIDE_HINTS = ("ookie", "サイトは", "本网站", "कुकी", "คุกกี้", "ملفات", "rights reserved", "trading name", "Print view", " - page ")  # one of them is in each match of _INSIDE
 _INSIDE = re.compile(
     r"^(?:.*(?:本网站使用|当サイトは|कुकी का उपयोग|ใช้คุกกี้|utilisons des cookies|verwenden Cookies|Usamos cookies|файлы cookie|ملفات تعريف الارتباط).*|"
     r".*\bAll rights reserved\.?|.+ is a trading name of .+|.{2,60}(?: [-|]|:) .{2,90} - page \d+ of \d+|.{2,50}(?: [-|]|:) Print view(?: - page \d+ of \d+)?)$"
 )
-_NAMES = re.compile(r"(?<=\S )[^\W\d_a-z][\w'’&.-]*(?: [^\W\d_a-z][\w'’&.-]*)*")
-_DIGIT, _DIGITS, _COLUMNS = re.compile(r"\d"), re.compile(r"\d+"), re.compile(r" {3,}")
+# Patterns that are searched for everywhere begin with one character or class, for which the engine scans quickly.
+_NAMES = re.compile(r" [^\W\d_a-z][\w'’&.-]*(?: [^\W\d_a-z][\w'’&.-]*)*")  # in plain texts, which begin with no space
+_DIGIT, _DIGITS, _COLUMNS = re.compile(r"\d"), re.compile(r"\d\d*"), re.compile(r" {3,}")
 _SPANS = re.compile(
     "|".join(
         p.replace(" ", r"\s+")
@@ -101,10 +102,11 @@ _SPANS = re.compile(
 _SPAN_HINT = re.compile(r"cookies|small files|partners|tracking|change\s+your\s+mind|are\s+needed|you\s+allow|browsing\s+on|Accept\s+to|Download\s+the|Join\s+us|Academy|Members\s+of|material\s+on|Early\s+tickets")
 
 _SIGNPOSTS = re.compile(r"[|·]|\s[/>›]\s")
-_STOP = re.compile(r"[.!?。！？।؟][\"'”’»)\]」]*\s*$")
-_INNER = re.compile(r"[.!?]\s+\S|[。！？।؟]")
-_SEPARATOR = re.compile(r"\s[-|>›]\s|:\s")
-_SENTENCES = re.compile(r"(?<=[.!?])\s+(?=[^\Wa-z\d_]|[\"“«„(¿¡])|(?<=[。！？।؟])")
+_STOPS, _CLOSING = tuple(".!?。！？।؟"), "\"'”’»)]」"
+_INNER = re.compile(r"[.!?。！？।؟](?:(?<=[.!?])\s+\S|(?<=[。！？।؟]))")
+_SEPARATOR = re.compile(r"[\s:](?:(?<=:)\s|(?<!:)[-|>›]\s)")
+#: sentences end where a match of it ends
+_SENTENCES = re.compile(r"[.!?。！？।؟](?:(?<=[.!?])\s+(?=[^\Wa-z\d_]|[\"“«„(¿¡])|(?<=[。！？।؟]))")
 
 
 def _cells(line: str) -> tuple[str, int] | None:
@@ -125,7 +127,8 @@ def _hash(text: str, kind: int) -> int:
 
 
 def _plain(text: str) -> str:
-    return " ".join(text.split())
+    # of what is printable, the space alone is white
+    return text if text.isprintable() and "  " not in text and text.strip() == text else " ".join(text.split())
 
 
 def path_of(line: str, kind: int = LINE) -> int:
@@ -133,48 +136,60 @@ def path_of(line: str, kind: int = LINE) -> int:
     return _hash(_plain(line).casefold(), kind)
 
 
-def folded_path(line: str) -> int:
-    """The path of a line whose digits are folded; 0 where it has none."""
-    return _hash(_DIGITS.sub("0", _plain(line).casefold()), FOLDED) if _DIGIT.search(line) else 0
-
-
-def masked_path(text: str, kind: int = MASKED) -> int:
-    """The path of a text with its numbers folded and its names (capitals behind the first word) masked; 0 where that leaves it as it is, or hardly a word of a line."""
-    plain = _DIGITS.sub("0", _plain(text))
-    masked = _NAMES.sub("A", plain)
-    if masked == plain and (kind == MASKED or not _DIGIT.search(text)) or masked.count(" ") < 2:
+def _masked_path(folded: str, digits: bool, kind: int = MASKED) -> int:
+    """The path of a plain text with its numbers folded, when its names (capitals behind the first word) are masked; 0 where that leaves a text as it was, or hardly a word of a line."""
+    if folded.count(" ") < 2:
+        return 0
+    masked = _NAMES.sub(" A", folded)
+    if masked == folded and (kind == MASKED or not digits) or masked.count(" ") < 2:
         return 0
     return _hash(masked.casefold(), kind)
 
 
-def prefix_path(line: str) -> int:
-    """The path of what stands before the first separator; 0 where a line has none or is running text or a table row."""
+def _prefix_path(line: str, running: bool) -> int:
+    """The path of what stands before the first separator; 0 where a line has none or is an item, running text or a table row."""
     if pointer := _POINTER.match(line):
         return _hash(pointer[1], PREFIX)
-    if len(line) > 110 or line.count("|") > 1 or _STOP.search(line) or _INNER.search(line):
+    if running or len(line) > 110 or line.count("|") > 1:
         return 0
     m = _SEPARATOR.search(line, 2, 48)
     if not m:
         return 0
     head = line[: m.start()]
-    return 0 if any(c.isdigit() for c in head) or _ITEM.match(line) else _hash(head.casefold(), PREFIX)
+    return 0 if any(c.isdigit() for c in head) else _hash(head.casefold(), PREFIX)
+
+
+class Known:
+    """What a function tells of a text.  Furniture comes again and again, so each worker keeps it for the last texts: SEEN of them at most, of up to LONG characters."""
 
+    def __init__(self, of: Callable[[str], tuple]):
+        self.of, self.last, self.before = of, {}, {}
 
-#: What is known of a line alone; furniture comes again and again, so each worker keeps up to SEEN_LINES of them.
-SEEN_LINES = 20_000
-_SEEN: dict[str, tuple] = {}
+    def __call__(self, text: str) -> tuple:
+        known = self.last.get(text)
+        if known is None:
+            known = self.before.get(text) or self.of(text)
+            if len(text) <= LONG:
+                if len(self.last) >= SEEN // 2:
+                    self.last, self.before = {}, self.last
+                self.last[text] = known
+        return known
 
 
+SEEN = 20_000
+
+
+@Known
 def _facts(line: str) -> tuple[int, int, int, int, int, tuple[str, int] | None, bool, bool]:
     """(path, prefix path, folded path, masked path, flags, cells of a row, whether it has digits, whether it is running text) of a line."""
     flags = 0
     if len(line) <= 60 and _RELATED.match(line):
         flags = RELATED | FURNITURE
-    elif _LINE.match(line) or (_INSIDE_HINT.search(line) and _INSIDE.match(line)):
+    elif _LINE.match(line) or (any([hint in line for hint in _INSIDE_HINTS]) and _INSIDE.match(line)):
         flags = FURNITURE
     item = _ITEM.match(line)
-    inner, words = _INNER.search(line, item.end() if item else 0), line.count(" ") + 1
-    if _STOP.search(line):
+    inner, words = _INNER.search(line, item.end() if item else 0) is not None, line.count(" ") + 1
+    if line.rstrip(_CLOSING).endswith(_STOPS):
         flags |= STOP | SENTENCE
     elif line[0].islower():
         flags |= SENTENCE
@@ -182,13 +197,22 @@ def _facts(line: str) -> tuple[int, int, int, int, int, tuple[str, int] | None,
         flags |= HEADLINE
     if item:
         flags |= ITEM
-    if flags & HEADLINE and not _SIGNPOSTS.search(line) and (words - (item is not None) >= 3 or not line.isascii()):
+    if flags & HEADLINE and (words - (item is not None) >= 3 or not line.isascii()) and not (any([c in line for c in "|·/>›"]) and _SIGNPOSTS.search(line)):
         flags |= LINK
-    if not flags & STOP and not inner and words <= 14:
+    ends = bool(flags & STOP or inner)
+    if not ends and words <= 14:
         flags |= HEADING  # if running text follows it
-    cells = _cells(line)
-    running = bool(flags & STOP or inner) or (len(line) >= 50 and words >= 8 and not _SEPARATOR.search(line))
-    return path_of(line), prefix_path(line), folded_path(line), masked_path(line), flags, cells, cells is not None and _DIGIT.search(line) is not None, running
+    cells, digits, plain = _cells(line), _DIGIT.search(line) is not None, _plain(line)
+    folded = _DIGITS.sub("0", plain) if digits else plain
+    running = ends or (len(line) >= 50 and words >= 8 and not _SEPARATOR.search(line))
+    return _hash(plain.casefold(), LINE), _prefix_path(line, ends or item is not None), _hash(folded.casefold(), FOLDED) if digits else 0, _masked_path(folded, digits), flags, cells, cells is not None and digits, running
+
+
+@Known
+def _said(sentence: str) -> tuple[int, int]:
+    """(path, masked path) of a sentence."""
+    plain, digits = _plain(sentence), _DIGIT.search(sentence) is not None
+    return _hash(plain.casefold(), SENTENCES), _masked_path(_DIGITS.sub("0", plain) if digits else plain, digits, MASKED_SENTENCES)
 
 
 class Lines:
@@ -217,12 +241,7 @@ class Lines:
                     block = []
                 fresh, cells_before = True, None
                 continue
-            known = _SEEN.get(line)
-            if known is None:
-                if len(_SEEN) >= SEEN_LINES:
-                    _SEEN.clear()
-                known = _SEEN[line] = _facts(line)
-            path, prefix, folded, masked, flags, cells, digits, running = known
+            path, prefix, folded, masked, flags, cells, digits, running = _facts(line)
             if fresh:
                 flags |= BLOCK_START
                 fresh = False
@@ -266,8 +285,9 @@ class Lines:
                 b = bisect_right(starts, max(at, end - 2)) - 1
                 self.first.append(block[a][0])
                 self.last.append(block[b][0])
-                self.sentence.append(path_of(sentence, SENTENCES))
-                self.mask.append(masked_path(sentence, MASKED_SENTENCES))
+                path, mask = _said(sentence)
+                self.sentence.append(path)
+                self.mask.append(mask)
                 self.size.append(len(sentence))
             at = end
 

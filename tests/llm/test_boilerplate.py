@@ -1,3 +1,6 @@
+import random
+import re
+
 from pyspark.sql import functions as F
 
 from folioflow.llm import boilerplate as b
@@ -116,3 +119,36 @@ def test_dropped_headings_of_articles_stay(spark):
 def test_a_hot_document_counts_once(spark):
     docs = cleaned(1, ["Alpha Beta Gamma"]) * 30 + [d for i in range(2, 7) for d in cleaned(i)]
     assert run(spark, docs) == set()
+
+
+def test_lines_and_sentences_are_normalised_once(monkeypatch):
+    calls, plain = [], b._plain
+    monkeypatch.setattr(b, "_plain", lambda text: calls.append(text) or plain(text))
+    texts = ["Zarvex 77 counted  pumps at Omega Dock.", "Quillon 78 counted boats at Delta Pier."]
+    for number in (1, 2):
+        b.Lines().add_page(number, "\n".join(texts))
+    assert sorted(calls) == sorted(texts * 2)  # as a line and as a sentence, not again for each form or page
+
+
+def test_quick_patterns_find_what_the_plain_ones_do():
+    names = re.compile(r"(?<=\S )[^\W\d_a-z][\w'’&.-]*(?: [^\W\d_a-z][\w'’&.-]*)*")
+    stop = re.compile(r"[.!?。！？।؟][\"'”’»)\]」]*\s*$")
+    inner = re.compile(r"[.!?]\s+\S|[。！？।؟]")
+    separator = re.compile(r"\s[-|>›]\s|:\s")
+    sentences = re.compile(r"(?<=[.!?])\s+(?=[^\Wa-z\d_]|[\"“«„(¿¡])|(?<=[。！？।؟])")
+    at = lambda m: m and m.start()
+    draw = random.Random(2)
+    for _ in range(20_000):
+        text = "".join(draw.choices("abAZéЖ中09٣_  \t\u00a0\u2003\u200b\x1c..!?。！।؟::|->›·/&'’\"”»)]」“«(¿", k=draw.randint(1, 60)))
+        plain, line = " ".join(text.split()), text.strip()
+        assert b._plain(text) == plain
+        assert b._NAMES.sub(" A", plain) == names.sub("A", plain)
+        assert b._DIGITS.sub("0", plain).casefold() == re.sub(r"\d+", "0", plain.casefold())
+        assert [m.end() for m in b._SENTENCES.finditer(text)] == [m.end() for m in sentences.finditer(text)]
+        assert line.rstrip(b._CLOSING).endswith(b._STOPS) == bool(stop.search(line))
+        for begin in (0, 3):
+            assert at(b._INNER.search(line, begin)) == at(inner.search(line, begin))
+        assert at(b._SEPARATOR.search(line)) == at(separator.search(line)) and at(b._SEPARATOR.search(line, 2, 48)) == at(separator.search(line, 2, 48))
+    every = [chr(i) for i in range(0x110000)]
+    assert [c for c in every if c.isspace() and c.isprintable()] == [" "]
+    assert not [c for c in every if any(x.isdecimal() for x in c.casefold()) != c.isdecimal()]
